@@ -237,6 +237,6 @@ def pseudonymised(documents: DataFrame, key: str, text: str = "text", counts: bo
         kinds = F.transform("__found", kind_of)
         result = result.withColumn("__kinds", kinds)
         for kind, name in zip(KINDS, names):
-            number = F.size(F.filter("__kinds", lambda k, kind=kind: k == kind)).cast("long")
-            result = result.withColumn(name, F.greatest(number, F.lit(0).cast("long")))
+            number = F.size(F.array_remove(F.transform("__kinds", lambda k: F.coalesce(k == F.lit(kind), F.lit(False))), False))
+            result = result.withColumn(name, F.greatest(number, F.lit(0)).cast("long"))
     return result.select(*(F.col(f"`{c}`") for c in documents.columns if c in rest or c == text), *(names if counts else []))
