@@ -50,7 +50,7 @@ class WordTokenizer:
     #: Fixed value: the split of the vocabulary file.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -80,7 +80,7 @@ class WordTokenizer:
             else:
                 missing.append(word)
         if missing:
-            ids = np.array(self.bare.encode(" ".join(missing), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.bare.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(missing):  # the library cuts some word: another version of Unicode
                 for word in missing:
@@ -105,11 +105,11 @@ class WordTokenizer:
         if not self.latin(text):
             return np.frombuffer(self._of(self.words(self.whole.normalizer.normalize_str(text))), "<u4")
         parts, chunks = text.lower().split(), self.chunks
-        try:
-            return np.frombuffer(b"".join([chunks[p] for p in parts]), "<u4")
-        except KeyError:
+        found = list(map(chunks.get, parts))
+        if None in found:
+            at = [i for i, ids in enumerate(found) if ids is None]
             missing = {}
-            for part in {*parts}.difference(chunks):
+            for part in {parts[i] for i in at}:
                 if part in self.old_chunks:
                     chunks[part] = self.old_chunks[part]
                 else:
@@ -117,7 +117,9 @@ class WordTokenizer:
             self._learn({w for words in missing.values() for w in words})
             for part, words in missing.items():
                 chunks[part] = b"".join([self.known[w] for w in words])
-            return np.frombuffer(b"".join([chunks[p] for p in parts]), "<u4")
+            for i in at:
+                found[i] = chunks[parts[i]]
+        return np.frombuffer(b"".join(found), "<u4")
 
 
 #: One for each file and worker process; Spark uses the processes again.
