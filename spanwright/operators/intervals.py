@@ -86,7 +86,8 @@ def matched(truths: DataFrame, predictions: DataFrame, key: str = "video") -> Da
         sides = [list(f.sort_values(["start", "end"])[["start", "end"]].itertuples(index=False, name=None)) for f in (left, right)]
         pairs = best_matching(*sides)
         value = (left if len(left) else right)[key].iloc[0]
-        return pd.DataFrame({key: [value] * len(pairs), "truth_index": [i + 1 for i in pairs], "prediction_index": [j + 1 for j in pairs.values()]})
+        # Objects: an empty column of strings would be a chunked array.
+        return pd.DataFrame({key: pd.Series([value] * len(pairs), dtype=object), "truth_index": [i + 1 for i in pairs], "prediction_index": [j + 1 for j in pairs.values()]})
 
     kind = truths.schema[key].dataType.simpleString()
     sides = [f.select(key, "start", "end").groupBy(key) for f in (truths, predictions)]
