@@ -159,6 +159,8 @@ class Packer:
         sequence, offset); all that waits if ``flush``, else down to half a window."""
         new = []
         for example, tokens, loss in examples:
+            if tokens > self.length and not self.cut:
+                raise ValueError("an example is larger than a sequence and may not be cut")
             whole = tokens // self.length if loss <= self.limits[2] / self.length else 0
             for i in range(whole):
                 # A whole sequence by itself; the open one stays open.
