@@ -12,10 +12,12 @@
    a list.  Values that only one class has need no list, and passages that
    very many texts share come last and are mostly left out.
 3. A list's members are first paired with its smallest one only (a star).
-   What is confirmed is joined to components; after that, pairs are made only
-   between members of a list that lie in different components, in size bands
-   of which a qualifying pair meets in the same or the next.  So a list of
-   thousands of copies of one text makes about as many pairs as it has
+   What is confirmed is joined to components.  Where members of a list are in
+   different components after that, pairs between components are found by
+   lists of their whole sets, again all but the last values, but as many as
+   the sizes of both sides demand.  A copy that is too far from its star's
+   centre has its own rare values there, and meets only those that share one.
+   So a list of thousands of copies makes about as many pairs as it has
    members, and no pair is left out that could link two components.
 4. The union-sketch estimate drops pairs that can't qualify, and the exact
    Jaccard of the full sets confirms the rest.
@@ -83,28 +85,73 @@ def _least_shared(n: Column, percent: int, shared: int) -> Column:
     return F.least(F.ceil(n * percent / 100).cast("int"), F.lit(shared))
 
 
-def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, k: int, percent: int, shared: int) -> DataFrame:
-    """Of the pairs (a, b), those whose sets reach the Jaccard in percent."""
+def _side(frame: DataFrame, name: str) -> DataFrame:
+    return frame.select(F.col("class_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in frame.columns if c != "class_id"))
 
-    def side(frame: DataFrame, name: str) -> DataFrame:
-        return frame.select(F.col("class_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in frame.columns if c != "class_id"))
 
+def _estimated(pairs: DataFrame, sketches: DataFrame, k: int, percent: int, shared: int) -> DataFrame:
+    """Of the pairs (a, b), those that the union's sketch doesn't rule out."""
     union = F.slice(F.sort_array(F.array_union("a_sketch", "b_sketch")), 1, k)
     common = F.size(F.array_intersect(F.array_intersect("a_sketch", "b_sketch"), union))
     # Whole sets: the estimate is exact.  Else the margin of the docstring.
     whole = (F.col("a_n") <= k) & (F.col("b_n") <= k) & (F.size(F.array_union("a_sketch", "b_sketch")) <= k)
     near = F.when(whole, common * 100 >= F.size(union) * percent).otherwise(common >= shared * F.size(union) / k)
     sizes = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
-    estimated = (
-        pairs.join(side(sketches, "a"), "a").join(side(sketches, "b"), "b").filter(sizes).filter(near).select("a", "b")
-    )
+    return pairs.join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b").filter(sizes).filter(near).select("a", "b")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those whose full sets reach the Jaccard in percent."""
     both = F.size(F.array_intersect("a_shingles", "b_shingles"))
     either = F.size("a_shingles") + F.size("b_shingles") - both
+    return pairs.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").filter(both * 100 >= either * percent).select("a", "b")
+
+
+def _between(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members (class_id, n, root, shingles) in different
+    components that may qualify, by lists of whole sets.
+
+    Two sets of na and nb values qualify with t / (1 + t) * (na + nb) common
+    ones or more, so they meet in the values that both hold before the last
+    ones of that number, rarest first.  Sizes go by narrow bands, and a set is
+    listed for each band of partners with just the values needed there.
+    """
+    share = percent / 100
+    step = np.log(1.01)
+    band = lambda size: F.floor(F.log(size.cast("double")) / step).cast("int")
+    values = members.select("class_id", "n", "root", F.explode("shingles").alias("value"))
+    # A list's bands are few: as many as there are sizes, on a scale of hundredths.
+    common = (
+        values.groupBy("value")
+        .agg(F.count("*").alias("lists"), F.min("root").alias("r"), F.max("root").alias("s"), F.collect_set(band(F.col("n"))).alias("bands"))
+        .filter("lists > 1")
+    )
+    of_class = Window.partitionBy("class_id")
+    position = F.row_number().over(of_class.orderBy("lists", "value")) + F.col("n") - F.count("*").over(of_class)
+    listed = values.join(common, "value").withColumn("position", position).filter("r < s")
+    # The largest partner for which a value at this position is needed.
+    most = F.least((1 + share) / share * (F.col("n") - F.col("position") + 1) - F.col("n"), F.col("n") / share) + 1e-6
+    least = F.greatest(F.col("n") * share - 1e-6, F.lit(1.0))
+    partners = F.when(most >= least, F.array_intersect("bands", F.sequence(band(least), band(most))))
+    lists = listed.select("value", "class_id", "root", band(F.col("n")).alias("band"), F.explode(partners).alias("other"))
+    pair = [F.col("value"), F.least("band", "other").alias("low"), F.greatest("band", "other").alias("high")]
+    keyed = lists.select(*pair, "band", "class_id", "root")
+    sides = ["value", "low", "high"]
+    both = (
+        keyed.groupBy(sides)
+        .agg(F.min("root").alias("r"), F.max("root").alias("s"), F.min("band").alias("p"), F.max("band").alias("q"))
+        .filter("r < s and p = low and q = high")
+    )
+    keyed = cut(keyed.join(both.select(sides), sides, "left_semi"))
+    roots = keyed.select(*sides, "band", "root").distinct()
+    other = roots.select(*sides, F.col("band").alias("band_b"), F.col("root").alias("root_b"))
+    # Once for each two components: of one band by their order, else the lower band first.
+    met = roots.join(other, sides).filter("root <> root_b and band = low and band_b = high and (low < high or root < root_b)")
     return (
-        estimated.join(side(sets, "a"), "a")
-        .join(side(sets, "b"), "b")
-        .filter(both * 100 >= either * percent)
-        .select("a", "b")
+        met.join(keyed.withColumnRenamed("class_id", "a"), [*sides, "band", "root"])
+        .join(keyed.select(*sides, F.col("band").alias("band_b"), F.col("root").alias("root_b"), F.col("class_id").alias("b")), [*sides, "band_b", "root_b"])
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
     )
 
 
@@ -150,31 +197,20 @@ def near_duplicates(
     needed = cut(star.select(F.col("a").alias("doc_id")).union(star.select("b")).distinct())
     sets = cut(rows_of(texts, needed, "doc_id").mapInArrow(_sets, "class_id long, shingles array<long>"))
     pick = sketches.join(needed.select(F.col("doc_id").alias("class_id")), "class_id", "left_semi")
-    links = cut(_confirmed(star, pick, sets, k, percent, shared).distinct())
+    links = cut(_confirmed(_estimated(star, pick, k, percent, shared), sets, percent).distinct())
     first = connected_components(links)
 
-    # What remains: members of one list in different components.
+    # What remains: members of one list, but its head, in different components.
     placed = (
-        postings.join(heads.select("value"), "value", "left_semi")
+        postings.join(heads.select("value", "head"), "value")
+        .filter("class_id <> head")
         .join(first.withColumnRenamed("node", "class_id"), "class_id", "left")
-        .select("value", "class_id", F.coalesce("root", "class_id").alias("root"), F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent)).alias("band"))
+        .select("value", "class_id", "n", F.coalesce("root", "class_id").alias("root"))
     )
     mixed = placed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    placed = cut(placed.join(mixed.select("value"), "value", "left_semi"))
-    roots = placed.select("value", "root", "band").distinct()
-    other = roots.select("value", F.col("root").alias("root_b"), F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1)))).alias("band"), F.col("band").alias("band_b"))
-    between = roots.join(other, ["value", "band"]).filter("root < root_b")
-    rest = (
-        between.join(placed.select("value", "root", "band", F.col("class_id").alias("a")), ["value", "root", "band"])
-        .join(
-            placed.select("value", F.col("root").alias("root_b"), F.col("band").alias("band_b"), F.col("class_id").alias("b")),
-            ["value", "root_b", "band_b"],
-        )
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = _confirmed(rest, pick, sets, k, percent, shared)
+    open_ids = placed.join(mixed.select("value"), "value", "left_semi").select("class_id", "n", "root").distinct()
+    rest = _between(cut(open_ids.join(sets, "class_id")), percent).join(star, ["a", "b"], "left_anti")
+    more = _confirmed(rest, sets, percent)
     roots = connected_components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
     classed = base.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low"], "left")
