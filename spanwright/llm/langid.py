@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanwright.llm.common import rows_of
+from spanwright.llm.common import checked_broadcast, rows_of
 
 GRAMS = 1 << 14
 PER_LANGUAGE = 2000
@@ -106,6 +106,23 @@ def _counted(batches):
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cells)), pa.array(cells), pa.array(counts[cells])], names=["lang", "cell", "n"])
 
 
+def _least_hashed(rows: DataFrame, most: int) -> DataFrame:
+    """The distinct doc_id of each language's ``most`` rows of the smallest key hash.
+
+    Cells of the hash are counted first, so that only the rows of the cell in
+    which a language's last row lies are ranked, not all of its rows.
+    """
+    token = F.xxhash64("doc_id")
+    marked = rows.select("lang", "doc_id", token.alias("token"), F.shiftrightunsigned(token, 52).alias("cell"))
+    counts = marked.groupBy("lang", "cell").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("cell"))
+    counts = counts.withColumn("room", F.lit(most) - upto + F.col("n")).filter("room > 0")
+    near = marked.join(checked_broadcast(counts), ["lang", "cell"])
+    rank = F.row_number().over(Window.partitionBy("lang", "cell").orderBy("token", "doc_id"))
+    last = near.filter("n > room").withColumn("rank", rank).filter("rank <= room")
+    return near.filter("n <= room").select("doc_id").union(last.select("doc_id")).distinct()
+
+
 def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages and their trigram distributions, smoothed, as (GRAMS, languages).
 
@@ -115,8 +132,7 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     """
     rows = documents.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.filter("lang is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language).select("doc_id").distinct()
+    ids = _least_hashed(rows.select("lang", "doc_id"), per_language)
     sums = rows_of(rows, ids, "doc_id").select("lang", "text").mapInArrow(_counted, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     found = sums.toPandas()
     names = sorted(set(found["lang"]))
