@@ -28,6 +28,25 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+#: Rows of an Arrow batch, and its bytes where the session bounds them at all.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def bounded_batches(frame: DataFrame) -> DataFrame:
+    """The frame, after lowering the session's limits on Arrow batches.
+
+    Spark's ten thousand rows are hundreds of megabytes where texts are long,
+    in the JVM and in each Python worker.
+    """
+    conf = frame.sparkSession.conf
+    for name, default, most in (("maxRecordsPerBatch", 10_000, BATCH_ROWS), ("maxBytesPerBatch", 1 << 62, BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = str(conf.get(key, str(default)))
+        if not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return frame
+
+
 def checked_broadcast(frame: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """The frame with a broadcast hint if it has at most ``most`` rows, else as it is.
 

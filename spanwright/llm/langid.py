@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanwright.llm.common import checked_broadcast, rows_of
+from spanwright.llm.common import bounded_batches, checked_broadcast, rows_of
 
 GRAMS = 1 << 14
 PER_LANGUAGE = 2000
@@ -130,7 +130,7 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     ``per_language`` keys of each language are used, so the sums that meet on
     the driver are bounded by languages times GRAMS.
     """
-    rows = documents.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
+    rows = bounded_batches(documents).select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.filter("lang is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     ids = _least_hashed(rows.select("lang", "doc_id"), per_language)
     sums = rows_of(rows, ids, "doc_id").select("lang", "text").mapInArrow(_counted, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
@@ -173,7 +173,7 @@ def predict(documents: DataFrame, names: list[str], model: np.ndarray, key: str
     Rows stand for themselves, whatever their keys; ties go to the first
     language by name.
     """
-    rows = documents.select(F.col(f"`{text}`").alias("__text"), F.col(f"`{key}`").cast("long").alias("doc_id"), *([F.col(f"`{text}`").alias("text")] if keep_text else []))
+    rows = bounded_batches(documents).select(F.col(f"`{text}`").alias("__text"), F.col(f"`{key}`").cast("long").alias("doc_id"), *([F.col(f"`{text}`").alias("text")] if keep_text else []))
     kept = "doc_id long, " + ("text string, " if keep_text else "")
     return rows.mapInArrow(lambda batches: _predicted(batches, names, model), kept + "lang_pred string, score double, languages string")
 

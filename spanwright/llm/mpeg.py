@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanwright.llm.common import bounded_batches
+
 UNIT = 192
 ROWS = 256
 
@@ -299,7 +301,7 @@ def media_features(documents: DataFrame, key: str = "doc_id", text: str = "text"
     values; rows stand for themselves, whatever their keys; an empty table
     gives none.
     """
-    rows = documents.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = bounded_batches(documents).select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     schema = (
         "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, "
         "media_sha256 string, feature string, duration_us long, n_frames long, frame_offsets array<long>"

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanwright.llm.common import cut, rows_of
+from spanwright.llm.common import bounded_batches, cut, rows_of
 from spanwright.llm.components import connected_components
 from spanwright.llm.shingles import WordHashes, shingle_set
 
@@ -169,7 +169,7 @@ def near_duplicates(
     equal results.  A null key is never linked: its component is null, and it
     is kept.  An empty table gives an empty table.
     """
-    texts = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    texts = bounded_batches(documents).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, n_shingles long, high long, low long, sketch array<long>"
     base = cut(texts.mapInArrow(lambda batches: _sketches(batches, k), schema))
     some = base.filter("n_shingles > 0 and doc_id is not null")

@@ -29,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanwright.llm.common import bounded_batches
+
 LENGTH = 4096
 END = 2
 #: Examples that are open for packing at once in a task.
@@ -263,7 +265,7 @@ def packed(
     itself; an empty table gives no rows.
     """
     share = F.lit(1.0) if loss_share is None else loss_share.cast("double")
-    rows = documents.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), share.alias("share"))
+    rows = bounded_batches(documents).select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), share.alias("share"))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return rows.mapInArrow(lambda batches: _pieces(batches, tokenizer_path, (length, segments, loss), end), schema)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanwright.llm.common import checked_broadcast
+from spanwright.llm.common import bounded_batches, checked_broadcast
 from spanwright.llm.langid import held_out
 
 SAMPLE = 20_000
@@ -71,7 +71,7 @@ def _measured(batches):
 def with_statistics(frame: DataFrame, text: str = "text", keep: str = "doc_id long") -> DataFrame:
     """The columns of ``keep`` (a DDL string) and the statistics of the text."""
     names = [part.split()[0] for part in keep.split(",")]
-    rows = frame.select(F.col(f"`{text}`").alias("__text"), *names)
+    rows = bounded_batches(frame).select(F.col(f"`{text}`").alias("__text"), *names)
     return rows.mapInArrow(_measured, f"{keep}, " + ", ".join(f"{c} double" for c in STATISTICS))
 
 

@@ -24,7 +24,7 @@ _LENGTH = [np.uint64((0xA0761D6478BD642F * (n + 1)) & _MASK) for n in range(WIDT
 class WordHashes(dict):
     """Hash of each word, remembered for up to ``most`` words."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 
