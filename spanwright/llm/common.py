@@ -28,7 +28,7 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-#: Rows of an Arrow batch, and its bytes where the session bounds them at all.
+#: Rows and bytes of an Arrow batch.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
@@ -38,12 +38,10 @@ def bounded_batches(frame: DataFrame) -> DataFrame:
     Spark's ten thousand rows are hundreds of megabytes where texts are long,
     in the JVM and in each Python worker.
     """
-    conf = frame.sparkSession.conf
-    for name, default, most in (("maxRecordsPerBatch", 10_000, BATCH_ROWS), ("maxBytesPerBatch", 1 << 62, BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{name}"
-        now = str(conf.get(key, str(default)))
-        if not now.isdigit() or not 0 < int(now) <= most:
-            conf.set(key, str(most))
+    conf, prefix = frame.sparkSession.conf, "spark.sql.execution.arrow"
+    if not 0 < int(conf.get(f"{prefix}.maxRecordsPerBatch")) <= BATCH_ROWS:
+        conf.set(f"{prefix}.maxRecordsPerBatch", str(BATCH_ROWS))
+        conf.set(f"{prefix}.maxBytesPerBatch", str(BATCH_BYTES))
     return frame
 
 
