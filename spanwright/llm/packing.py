@@ -52,7 +52,7 @@ class WordTokenizer:
     #: Fixed value: the split of the vocabulary file.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 200_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
