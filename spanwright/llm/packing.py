@@ -21,9 +21,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -35,24 +37,30 @@ LENGTH = 4096
 END = 2
 #: Examples that are open for packing at once in a task.
 WINDOW = 512
+#: Distinct chunks that are encoded at once; chunks of a text whose ids are put together at once.
+AT_ONCE, RUN = 50_000, 1 << 20
 #: Most segments and loss-bearing tokens of one sequence.
 SEGMENTS, LOSS = 512, LENGTH
 
 
 class WordTokenizer:
-    """The ids of a ``tokenizers`` file, remembered by chunk between blanks.
+    """The ids of a ``tokenizers`` file, looked up once for each distinct chunk
+    between blanks of a batch of texts, and remembered for up to ``most`` chunks.
 
     The vocabulary's normaliser and split make a chunk's ids independent of its
-    surroundings, so they are kept for up to ``most`` chunks.  Latin text only
-    needs lower case, as its composed letters are their own normal form; other
-    text goes through the library's normaliser, and text with the string of a
-    special token through its encoder.
+    surroundings.  Latin text only needs lower case, as its composed letters are
+    their own normal form; other text goes through the library's normaliser, and
+    text with the string of a special token through its encoder.  Chunks are
+    remembered in Arrow and NumPy arrays; when these are full, the chunks that
+    no later batch had are dropped.
     """
 
     #: Fixed value: the split of the vocabulary file.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: Characters of text that is not Latin, and the separators U+1C to U+1F, at which only a split by Arrow cuts.
+    OTHER = r"[^\x00-\x1b\x20-\x{12f}\x{131}-\x{24f}]"
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -63,65 +71,74 @@ class WordTokenizer:
         #: Whether an id ends a word.
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words = regex.compile(self.SPLIT).findall
-        #: Without the separators U+1C to U+1F, at which only str.split cuts.
-        self.latin = regex.compile(r"[\x00-\x1b\x20-\u012f\u0131-\u024f]*").fullmatch
         self.most = most
-        # Two generations of each memory: when the young one is full it becomes the old one.
-        self.chunks: dict[str, bytes] = {}
-        self.old_chunks: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
-        self.old_known: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of words: all in one call, cut where a word ends."""
-        missing = []
-        for word in words.difference(self.known):
-            if word in self.old_known:
-                self.known[word] = self.old_known[word]
-            else:
-                missing.append(word)
-        if missing:
-            ids = np.array(self.bare.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(missing):  # the library cuts some word: another version of Unicode
-                for word in missing:
-                    self.known[word] = np.array(self.bare.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-                return
-            data, start = ids.tobytes(), 0
-            for word, end in zip(missing, (ends * 4).tolist(), strict=True):
-                self.known[word] = data[start:end]
-                start = end
-
-    def _of(self, words: list[str]) -> bytes:
-        self._learn({*words})
-        return b"".join([self.known[w] for w in words])
-
-    def ids(self, text: str) -> np.ndarray:
+        #: Remembered chunks, their ids, the number of each one's ids, and whether a later batch had it.
+        self.known, self.data, self.sizes = pa.array([], pa.string()), np.empty(0, "<u4"), np.empty(0, np.int64)
+        self.again = np.empty(0, bool)
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks, and the number of each one's ids."""
+        words = pc.count_substring_regex(chunks, self.SPLIT).to_numpy().astype(np.int64)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks), " ")[0].as_py()
+        ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.concatenate([[0], np.flatnonzero(self.last[ids]) + 1])
+        if len(ends) != words.sum() + 1:  # the library cuts some word: another version of Unicode
+            each = [e.ids for e in self.bare.encode_batch_fast(chunks.to_pylist(), add_special_tokens=False)]
+            return np.array([i for e in each for i in e], "<u4"), np.array([len(e) for e in each], np.int64)
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(words)])])
+
+    def _look_up(self, chunks: pa.Array) -> np.ndarray:
+        """The place of each of the distinct chunks among the remembered ones."""
+        if len(self.known) > self.most:
+            stay = self.again if self.again.sum() <= self.most // 2 else np.zeros(len(self.known), bool)
+            self.data = self.data[np.repeat(stay, self.sizes)]
+            self.known, self.sizes = self.known.filter(pa.array(stay)), self.sizes[stay]
+            self.again = np.zeros(len(self.known), bool)
+        at = pc.index_in(chunks, value_set=self.known)
+        new, at = chunks.filter(pc.is_null(at)), pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        self.again[at[at >= 0]] = True
+        at[at < 0] = np.arange(len(self.known), len(self.known) + len(new))
+        found = [self._chunks(new[i : i + AT_ONCE]) for i in range(0, len(new), AT_ONCE)]
+        self.known = pa.concat_arrays([self.known, new])
+        self.data = np.concatenate([self.data, *(ids for ids, _ in found)])
+        self.sizes = np.concatenate([self.sizes, *(n for _, n in found)])
+        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        return at
+
+    def _odd(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
-        if len(self.known) > self.most:
-            self.known, self.old_known = {}, self.known
-        if len(self.chunks) > self.most:
-            self.chunks, self.old_chunks = {}, self.chunks
-        if not self.latin(text):
-            return np.frombuffer(self._of(self.words(self.whole.normalizer.normalize_str(text))), "<u4")
-        parts, chunks = text.lower().split(), self.chunks
-        found = list(map(chunks.get, parts))
-        if None in found:
-            at = [i for i, ids in enumerate(found) if ids is None]
-            missing = {}
-            for part in {parts[i] for i in at}:
-                if part in self.old_chunks:
-                    chunks[part] = self.old_chunks[part]
-                else:
-                    missing[part] = self.words(part)
-            self._learn({w for words in missing.values() for w in words})
-            for part, words in missing.items():
-                chunks[part] = b"".join([self.known[w] for w in words])
-            for i in at:
-                found[i] = chunks[parts[i]]
-        return np.frombuffer(b"".join(found), "<u4")
+        words = regex.findall(self.SPLIT, self.whole.normalizer.normalize_str(text))
+        distinct = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        each = [np.array(e.ids, "<u4") for e in self.bare.encode_batch_fast(list(distinct), add_special_tokens=False)]
+        return np.concatenate([np.empty(0, "<u4"), *(each[distinct[w]] for w in words)])
+
+    def of_batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, none of a null one."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, self.OTHER)
+        for special in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, special))
+        parts = pc.utf8_split_whitespace(pc.utf8_lower(pc.if_else(odd, "", texts)))
+        numbered = parts.flatten().dictionary_encode()
+        places = self._look_up(numbered.dictionary)
+        data, sizes = self.data, self.sizes[places]
+        firsts = (np.cumsum(self.sizes) - self.sizes)[places]
+        at, bounds = numbered.indices.to_numpy(), parts.offsets.to_numpy().tolist()
+        for i, (start, end) in enumerate(pairwise(bounds)):
+            if odd[i].as_py():
+                yield self._odd(texts[i].as_py())
+                continue
+            runs = []
+            for run in range(start, end, RUN):
+                chosen = at[run : min(run + RUN, end)]
+                lengths = sizes[chosen]
+                before = np.cumsum(lengths) - lengths
+                runs.append(data[np.repeat(firsts[chosen] - before, lengths) + np.arange(lengths.sum())])
+            yield runs[0] if len(runs) == 1 else np.concatenate([np.empty(0, "<u4"), *runs])
+
+    def ids(self, text: str) -> np.ndarray:
+        return next(self.of_batch(pa.array([text], pa.string())))
 
 
 #: One for each file and worker process; Spark uses the processes again.
@@ -234,8 +251,8 @@ def _pieces(batches, path: str, limits: tuple[int, int, int], end: int):
     waiting: list[tuple] = []
     for batch in batches:
         ids, texts, shares = batch.column(0), batch.column(1), batch.column(2)
-        for doc_id, text, share in zip(ids, texts, shares, strict=True):
-            tokens = np.concatenate([tokenizer.ids(text.as_py() or ""), tail])
+        for doc_id, found, share in zip(ids, tokenizer.of_batch(texts), shares, strict=True):
+            tokens = np.concatenate([found, tail])
             waiting.append(((doc_id.as_py(), tokens), len(tokens), min(max(share.as_py() or 0.0, 0.0), 1.0)))
             if len(waiting) >= WINDOW // 2:
                 yield from rows(waiting)
