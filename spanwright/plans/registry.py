@@ -193,6 +193,52 @@ def segment_metrics(spark, d):
     return _rounded(ev.overall(found, ev.by_series(found, ev.gaps(truths, predictions))))
 
 
+# The same over all truths of a series. An ordered matching of any number of
+# intervals has no plain SQL; the tests compare it with brute force.
+
+
+@query(f"""WITH {v.FRAMES}, {v.EVERY_TRUTH_PART} SELECT event_id, video,
+  (EXISTS (SELECT 1 FROM truths r WHERE r.video = f.video AND r."start" <= f.t AND f.t < r."end"))::INT AS inside FROM frames f""")
+def interval_label_join_all(spark, d):
+    return iv.labelled(v.frames(spark, d), v.every_truth(spark, d), name="inside").select("event_id", "video", "inside")
+
+
+@query(f"""WITH {v.PREDICTIONS}, {v.EVERY_TRUTH_PART},
+tn AS (SELECT *, row_number() OVER (PARTITION BY video ORDER BY "start", "end") AS i FROM truths),
+pn AS (SELECT *, row_number() OVER (PARTITION BY video ORDER BY "start", "end") AS j FROM predictions),
+both_ AS (
+  SELECT tn.video, i, j, least(tn."end", pn."end") - greatest(tn."start", pn."start") AS shared, tn."end" - tn."start" + pn."end" - pn."start" AS lengths
+  FROM tn JOIN pn ON tn.video = pn.video AND tn."start" < pn."end" AND pn."start" < tn."end")
+SELECT video, i::INT AS truth_index, j::INT AS prediction_index, round(shared / (lengths - shared), 9) AS iou FROM both_""")
+def segment_iou_pairs_all(spark, d):
+    found = ev.iou_pairs(v.every_truth(spark, d), v.predictions(spark, d))
+    return found.select("video", "truth_index", "prediction_index", F.round("iou", 9).alias("iou"))
+
+
+@query()
+def ordered_matching_all(spark, d):
+    return iv.matched(v.every_truth(spark, d), v.predictions(spark, d))
+
+
+@query()
+def segment_details_all(spark, d):
+    found = ev.details(v.every_truth(spark, d), v.predictions(spark, d))
+    return found.drop("split").withColumn("temporal_iou", F.round("temporal_iou", 9))
+
+
+@query()
+def segment_metrics_by_video_all(spark, d):
+    truths, predictions = v.every_truth(spark, d), v.predictions(spark, d)
+    return _rounded(ev.by_series(ev.details(truths, predictions), ev.gaps(truths, predictions)))
+
+
+@query()
+def segment_metrics_all(spark, d):
+    truths, predictions = v.every_truth(spark, d), v.predictions(spark, d)
+    found = ev.details(truths, predictions)
+    return _rounded(ev.overall(found, ev.by_series(found, ev.gaps(truths, predictions))))
+
+
 # Calibration.
 
 _METRICS = """coalesce((tp + tn) / nullif(tp + fp + tn + fn, 0), 0) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,

@@ -25,9 +25,14 @@ def frames(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def every_truth(spark: SparkSession, d: str) -> DataFrame:
+    """All runs of purchases and views of each series."""
+    return islands(frames(spark, d), F.col("event_type").isin("purchase", "view"))
+
+
 def truths(spark: SparkSession, d: str) -> DataFrame:
     """The first two runs of purchases and views of each series."""
-    found = islands(frames(spark, d), F.col("event_type").isin("purchase", "view"))
+    found = every_truth(spark, d)
     first = Window.partitionBy("video").orderBy("start")
     return found.withColumn("n", F.row_number().over(first)).filter("n <= 2").drop("n")
 
@@ -95,6 +100,7 @@ TRUTH_PART = f"""{islands_sql('runs', 'frames', "event_type IN ('purchase', 'vie
 truths AS (SELECT video, "start", "end" FROM (SELECT *, row_number() OVER (PARTITION BY video ORDER BY "start") AS n FROM runs) WHERE n <= 2)"""
 TRUTHS = f"{FRAMES},\n{TRUTH_PART}"
 BOTH = f"{PREDICTIONS},\n{TRUTH_PART}"
+EVERY_TRUTH_PART = islands_sql("truths", "frames", "event_type IN ('purchase', 'view')")
 DETECTIONS = """lines AS (
   SELECT *, l_orderkey * 500 + row_number() OVER (PARTITION BY l_orderkey
     ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS n FROM lineitem),
