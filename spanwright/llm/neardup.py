@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanwright.llm.common import bounded_batches, cut, rows_of
+from spanwright.llm.common import bounded_batches, checked_broadcast, cut, rows_of
 from spanwright.llm.components import connected_components
 from spanwright.llm.shingles import WordHashes, shingle_set
 
@@ -47,7 +47,7 @@ ROWS = 256
 def _sketches(batches, k: int):
     words = WordHashes()
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
+        ids, texts, hashes = batch.column(0), batch.column(1), batch.column(2)
         for start in range(0, len(ids), 4096):
             size, high, low, sketch, offsets = [], [], [], [], [0]
             for text in texts.slice(start, 4096):
@@ -61,12 +61,13 @@ def _sketches(batches, k: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(start, 4096),
+                    hashes.slice(start, 4096),
                     pa.array(size, pa.int64()),
                     pa.array(high, pa.int64()),
                     pa.array(low, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(sketch) if sketch else [], pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "high", "low", "sketch"],
+                names=["doc_id", "text_hash", "n_shingles", "high", "low", "sketch"],
             )
 
 
@@ -156,7 +157,7 @@ def _between(members: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(
-    documents: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, percent: int = PERCENT, shared: int = SHARED
+    documents: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, percent: int = PERCENT, shared: int = SHARED, text_hash: bool = False
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``documents``.
 
@@ -165,17 +166,29 @@ def near_duplicates(
     more, and a component is what links reach; ``component_id`` is its
     smallest key, and that row is kept.  A null or blank text has no shingles
     and is linked with nothing.  Equal sets always lie in one component, so
-    ties need no rule.  Rows that repeat a key are the same document and get
-    equal results.  A null key is never linked: its component is null, and it
-    is kept.  An empty table gives an empty table.
+    ties need no rule.  Rows that repeat a key and its text are the same document
+    and get equal results; those of one key and different texts are linked and
+    kept each by its own text, and of a component's smallest key one text is
+    kept.  A null key is never linked: its component is null, and it is kept.
+    An empty table gives an empty table.  With ``text_hash``, a column of that
+    name follows: the xxhash64 of the text, which tells a key's texts apart.
     """
-    texts = bounded_batches(documents).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id long, n_shingles long, high long, low long, sketch array<long>"
+    texts = bounded_batches(documents).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
+    schema = "doc_id long, text_hash long, n_shingles long, high long, low long, sketch array<long>"
     base = cut(texts.mapInArrow(lambda batches: _sketches(batches, k), schema))
+    hashes = base.filter("doc_id is not null").groupBy("doc_id").agg(F.min("text_hash").alias("p"), F.max("text_hash").alias("q"))
+    several = cut(hashes.filter("p <> q").select("doc_id", F.lit(True).alias("several")))
+    # Texts that share a key get keys of their own: hashes, so that another key
+    # is met by chance about once in 2**64 pairs.
+    if repeated := several.limit(1).count() > 0:
+        of_text = F.when(F.col("several"), F.xxhash64("doc_id", "text_hash")).otherwise(F.col("doc_id"))
+        base, texts = (f.join(checked_broadcast(several), "doc_id", "left").withColumn("id", of_text).drop("several") for f in (base, texts))
+    else:
+        base, texts = (f.withColumn("id", F.col("doc_id")) for f in (base, texts))
     some = base.filter("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy("high", "low").agg(F.min("doc_id").alias("class_id"))
+    classes = some.groupBy("high", "low").agg(F.min("id").alias("class_id"))
     named = some.join(classes, ["high", "low"])
-    sketches = cut(named.filter("doc_id = class_id").select("class_id", F.col("n_shingles").alias("n"), "sketch"))
+    sketches = cut(named.filter("id = class_id").select("class_id", F.col("n_shingles").alias("n"), "sketch"))
 
     values = sketches.select("class_id", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
     common = values.groupBy("value").agg(F.count("*").alias("lists")).filter("lists > 1")
@@ -194,9 +207,9 @@ def near_duplicates(
         .select(F.col("head").alias("a"), F.col("class_id").alias("b"))
         .distinct()
     )
-    needed = cut(star.select(F.col("a").alias("doc_id")).union(star.select("b")).distinct())
-    sets = cut(rows_of(texts, needed, "doc_id").mapInArrow(_sets, "class_id long, shingles array<long>"))
-    pick = sketches.join(needed.select(F.col("doc_id").alias("class_id")), "class_id", "left_semi")
+    needed = cut(star.select(F.col("a").alias("id")).union(star.select("b")).distinct())
+    sets = cut(rows_of(texts.select("id", "text"), needed, "id").mapInArrow(_sets, "class_id long, shingles array<long>"))
+    pick = sketches.join(needed.select(F.col("id").alias("class_id")), "class_id", "left_semi")
     links = cut(_confirmed(_estimated(star, pick, k, percent, shared), sets, percent).distinct())
     first = connected_components(links)
 
@@ -213,11 +226,20 @@ def near_duplicates(
     more = _confirmed(rest, sets, percent)
     roots = connected_components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
-    classed = base.select("doc_id", "n_shingles", "high", "low").join(classes, ["high", "low"], "left")
+    classed = base.select("doc_id", "id", "text_hash", "n_shingles", "high", "low").join(classes, ["high", "low"], "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    component = F.when(linked, F.coalesce("root", "class_id")).otherwise(F.col("doc_id"))
-    return (
-        classed.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    component = F.when(linked, F.coalesce("root", "class_id"))
+    found = classed.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", component)
+    head, head_id = F.coalesce("component", "doc_id"), F.coalesce("component", "id")
+    if repeated:
+        # A root may be a text's own key; the smallest key comes with its text.
+        heads = found.filter("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("head"))
+        found = found.join(heads, "component", "left")
+        head, head_id = F.coalesce("head.doc_id", "doc_id"), F.coalesce("head.id", "id")
+    return found.select(
+        "doc_id",
+        "n_shingles",
+        head.alias("component_id"),
+        F.coalesce(F.col("id") == head_id, F.lit(True)).alias("kept"),
+        *(["text_hash"] if text_hash else []),
     )

@@ -22,16 +22,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one of the smallest key.
 
-    Rows that repeat a key are one document, of which one row stays.
+    Rows that repeat a key and its text are one document, of which one row
+    stays.  Different texts of one key stay or go each for itself.
     """
-    found = cut(near_duplicates(docs).select("doc_id", "kept"))
+    found = cut(near_duplicates(docs, text_hash=True).select("doc_id", "text_hash", "kept"))
     gone = found.filter("not kept").select("doc_id").distinct()
-    kept = docs.join(checked_broadcast(gone), "doc_id", "left_anti")
-    repeated = cut(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
-    if repeated.limit(1).count():
-        ids = checked_broadcast(repeated)
-        kept = kept.join(ids, "doc_id", "left_anti").unionByName(kept.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.select(docs.columns)
+    repeated = cut(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    if not repeated.limit(1).count():
+        return docs.join(checked_broadcast(gone), "doc_id", "left_anti").select(docs.columns)
+    ids = checked_broadcast(repeated)
+    single = docs.join(ids, "doc_id", "left_anti").join(checked_broadcast(gone), "doc_id", "left_anti")
+    stay = found.filter("kept").join(ids, "doc_id", "left_semi").select("doc_id", F.col("text_hash").alias("__hash")).distinct()
+    rows = docs.join(ids, "doc_id", "left_semi").withColumn("__hash", F.xxhash64("text")).join(stay, ["doc_id", "__hash"], "left_semi")
+    return single.select(docs.columns).unionByName(rows.dropDuplicates(["doc_id", "__hash"]).select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,21 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 30)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_that_share_a_key_are_told_apart(spark):
+    r = random.Random(3)
+    a, b, c = ([f"{n}{r.randrange(10**6)}" for _ in range(120)] for n in "abc")
+    near = lambda words, at: " ".join(words[:at] + ["edit"] + words[at + 1 :])
+    # 5 and 7 share b, 7 and 9 share a and c; 8 is two near copies, 6 one text twice.
+    rows = [(5, " ".join(b)), (7, " ".join(a)), (7, near(b, 30)), (7, " ".join(c)), (9, near(a, 60)), (9, near(c, 60)), (8, "x y z " * 5 + "one"), (8, "x y z " * 5 + "one"), (8, "u " + "x y z " * 5 + "one"), (6, "one text"), (6, "one text"), (4, None), (4, "a word")]
+    got = near_duplicates(spark.createDataFrame(rows, KIND), text_hash=True).collect()
+    of = {}
+    texts = {x.h: x.text for x in spark.createDataFrame(rows, KIND).selectExpr("text", "xxhash64(text) h").collect()}
+    for x in got:
+        of.setdefault((x.doc_id, texts[x.text_hash]), set()).add((x.component_id, x.kept))
+    assert len(got) == len(rows) and all(len(v) == 1 for v in of.values())
+    of = {k: v.pop() for k, v in of.items()}
+    for i, text, component, kept in [(5, 0, 5, True), (7, 1, 7, True), (7, 2, 5, False), (7, 3, 7, True), (9, 4, 7, False), (9, 5, 7, False), (6, 9, 6, True), (4, 11, 4, True), (4, 12, 4, True)]:
+        assert of[i, rows[text][1]] == (component, kept)
+    assert sorted(v for k, v in of.items() if k[0] == 8) == [(8, False), (8, True)]

@@ -25,6 +25,17 @@ def test_stages_on_a_fixture(spark, tmp_path):
     assert {p.doc_id for p in pieces} == {1, 3, 7, 8}
 
 
+def test_a_key_of_two_texts_loses_only_the_copy(spark, tmp_path):
+    from spanwright.llm import stages
+
+    copied, alone = (" ".join(f"{n}{i * i % 97} {n}{i}" for i in range(60)) for n in ("copy", "alone"))
+    rows = [(5, copied), (7, alone), (7, copied + " tail"), (7, alone), (8, copied), (9, alone + " end"), (3, "two"), (3, "texts"), (None, alone)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    kept = stages.near_duplicate(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted((x.doc_id or 0, x.text) for x in kept.collect()) == sorted([(5, copied), (7, alone), (3, "two"), (3, "texts"), (0, alone)])
+
+
 def test_empty_documents(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
