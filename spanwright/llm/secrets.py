@@ -6,7 +6,8 @@ more) and ``hex`` (32 or more hexadecimal digits).
 
 Weak candidates are too common to report alone: ``ident`` (a named account or
 client), ``blob`` (40 characters of base64 with digits and both cases) and
-``endpoint`` (a URL or service host).  A weak candidate is reported only where
+``endpoint`` (a URL of any scheme, or a dotted host, an IPv4 address or
+localhost with a port; a bare name with a port isn't told from other pairs).  A weak candidate is reported only where
 complementary parts lie within ``scope`` code points of it in the same text:
 
 =========  ==================================================
@@ -38,7 +39,14 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 IDENT = r"""(?i:client_?id|account|user_?name|login|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{3,}"""
 BLOB = r"(?<![A-Za-z0-9+/=])(?=[A-Za-z+/]{0,39}[0-9])(?=[A-Z0-9+/]{0,39}[a-z])(?=[a-z0-9+/]{0,39}[A-Z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
-ENDPOINT = r"""https?://[A-Za-z0-9][^\x09-\x0D\x20"'<>]{3,}"""
+#: http(s) wherever it starts; other schemes from the start of their word; and
+#: dotted names, addresses and localhost with a port.
+_WORD, _REST = r"[A-Za-z0-9+.-]", r"""[^\x09-\x0D\x20"'<>]{3,}"""
+ENDPOINT = (
+    rf"https?://[A-Za-z0-9]{_REST}"
+    rf"|(?<!{_WORD})(?!{_WORD}*https?://)[A-Za-z]{_WORD}*+://[A-Za-z0-9:\[_]{_REST}"
+    r"|(?<![A-Za-z0-9._@/-])(?:(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}|\d{1,3}(?:\.\d{1,3}){3}|(?i:localhost)):\d{2,5}(?![0-9])"
+)
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "ident", "blob", "endpoint")
 SECRETS, IDENTIFIERS, WEAK = ("assign", "hex", "blob"), ("access", "ident"), ("ident", "blob", "endpoint")
@@ -112,7 +120,7 @@ def secret_spans(documents: DataFrame, key: str = "doc_id", text: str = "text",
     side = parts.select("row", F.col("kind").alias("part"), F.col("start").alias("s"), F.col("end").alias("e"))
     side = side.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("s") / scope), F.floor((F.col("e") - 1) / scope))))
     weak = parts.filter(F.col("kind").isin(*WEAK))
-    probe = weak.withColumn("bucket", F.explode(F.sequence(F.floor(F.greatest(F.col("start") - scope, F.lit(0)) / scope), F.floor((F.col("end") + scope) / scope))))
+    probe = weak.withColumn("bucket", F.explode(F.sequence(F.greatest(F.floor((F.col("start") - scope - 1) / scope), F.lit(0)), F.floor((F.col("end") + scope) / scope))))
     near = probe.join(side, ["row", "bucket"]).filter("s <= end + {0} and e >= start - {0}".format(scope))
     linked = (
         near.groupBy("row", "kind", "start", "rank", "end")
