@@ -19,6 +19,15 @@ A Feistel network adds a keyed hash of one half to the other, in turns, modulo
 the sizes of the halves.  Each half's domain has exactly the size needed, so
 the network is a permutation of the valid values without any search.
 
+A date is read day first if that is a real day, else month first.  Days that
+can only be read month first are permuted among themselves, so that no two
+dates of different texts meet; the day of one that is also written another way
+isn't linked to it.  A field of one digit stays without a leading zero.
+
+Left out, and so left in clear: phones of ten bare digits (not told from other
+numbers of ten digits), IPv6 addresses, two-digit years, months in words, cards
+in other groups than 4-4-4-1..7 and 4-6-4 or 5.
+
 An e-mail address is neither number nor date: its local part is replaced by a
 keyed 12-digit number and its domain by a reserved one.  This keeps links, but
 two addresses may meet by chance, about once in 10**12 pairs.
@@ -36,19 +45,22 @@ ROUNDS = 10
 KINDS = ("email", "date", "ip", "card", "phone", "ssn")
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
-DAY_DATE = r"\d{2}[./]\d{2}[./]\d{4}"
+YEAR_DATE = r"\d{4}/\d{1,2}/\d{1,2}"
+DAY_DATE = r"\d{1,2}[./]\d{1,2}[./]\d{4}"
 IP = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
-CARD = r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{13,19}"
+CARD = r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,19}"
 PHONE = r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}"
 SSN = r"\d{3}-\d{2}-\d{4}"
 #: Leftmost match, first alternative; never within a longer number or word.
 #: A plus sign may precede a phone number only as its own.
 PATTERN = (
     rf"(?<![A-Za-z0-9._%+-]){EMAIL}"
-    rf"|(?<![\p{{L}}\d])(?:{ISO_DATE}|{DAY_DATE}|{IP}|{CARD}|{SSN})(?![\p{{L}}\d])"
+    rf"|(?<![\p{{L}}\d])(?:{ISO_DATE}|{YEAR_DATE}|{DAY_DATE}|{IP}|{CARD}|{SSN})(?![\p{{L}}\d])"
     rf"|(?<![\p{{L}}\d]){PHONE}(?![\p{{L}}\d])"
 )
 FIRST_DAY, DAYS_A, DAYS_B = "1900-01-01", 261, 280
+#: Of the 2401 months of these days, the days from the 13th on.
+LATE_A, LATE_B, EARLY = 204, 217, 12
 
 
 def _draw(key: str, kind: str, turn: Column, half: Column, size: Column) -> Column:
@@ -154,29 +166,53 @@ def _ssn(value: Column, key: str) -> Column:
     return F.transform(F.array(pair), text)[0]
 
 
-def _iso(value: Column) -> Column:
-    """The ISO form of a date that matches one of the two patterns."""
-    return F.when(value.rlike(rf"^{ISO_DATE}$"), value).otherwise(
-        F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2))
-    )
+def _days(year: Column, month: Column, day: Column) -> Column:
+    """Days since FIRST_DAY; null if it is no day of the calendar."""
+    iso = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+    return F.datediff(iso.try_cast("date"), F.lit(FIRST_DAY).cast("date"))
 
 
 def _ordinal(value: Column) -> Column:
-    """Days since FIRST_DAY; null if it is no day of the calendar."""
-    return F.datediff(_iso(value).try_cast("date"), F.lit(FIRST_DAY).cast("date"))
+    """Days since FIRST_DAY of a date, year or day first; null if it is no day."""
+    part = F.split(value, "[./-]")
+    return F.when(F.length(part[0]) == 4, _days(part[0], part[1], part[2])).otherwise(_days(part[2], part[1], part[0]))
 
 
-def _date(value: Column, key: str) -> Column:
-    day = _ordinal(value)
-    pair = feistel(F.floor(day / DAYS_B), day % DAYS_B, F.lit(DAYS_A).cast("long"), F.lit(DAYS_B).cast("long"), key, "date")
+def _late(value: Column) -> Column:
+    """The number of a day, written month first, among the days from the 13th on."""
+    part = F.split(value, "[./-]")
+    months = (part[2].cast("int") - 1900) * 12 + part[0].cast("int")
+    return F.when(F.length(part[0]) < 4, _days(part[2], part[0], part[1]) - EARLY * months)
 
-    def text(p: Column) -> Column:
-        new = F.date_add(F.lit(FIRST_DAY).cast("date"), (p["a"] * DAYS_B + p["b"]).cast("int"))
-        split = F.substring(value, 3, 1)
-        other = F.concat(F.date_format(new, "dd"), split, F.date_format(new, "MM"), F.substring(value, 6, 1), F.date_format(new, "yyyy"))
-        return F.when(value.rlike(rf"^{ISO_DATE}$"), F.date_format(new, "yyyy-MM-dd")).otherwise(other)
 
-    return F.transform(F.array(pair), text)[0]
+def _date(value: Column, key: str) -> Column:
+    day, late = _ordinal(value), _late(value)
+    whole = feistel(F.floor(day / DAYS_B), day % DAYS_B, F.lit(DAYS_A).cast("long"), F.lit(DAYS_B).cast("long"), key, "date")
+    part = feistel(F.floor(late / LATE_B), late % LATE_B, F.lit(LATE_A).cast("long"), F.lit(LATE_B).cast("long"), key, "late date")
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def late_day(n: Column) -> Column:
+        """The n-th day from the 13th on: the last month that starts by then."""
+        before = lambda m: F.datediff(F.add_months(first, m), first) - EARLY * m
+        about = F.floor(n * 2401 / (LATE_A * LATE_B)).cast("int")
+        month = F.array_max(F.filter(F.sequence(F.greatest(about - 2, F.lit(0)), about + 2), lambda m: before(m) <= n))
+        return F.transform(F.array(month), lambda m: F.date_add(F.add_months(first, m), (n - before(m) + EARLY).cast("int")))[0]
+
+    def text(new: Column, *order: str) -> Column:
+        old = F.split(value, "[./-]")
+        mark = F.array(F.substring(value, F.length(old[0]) + 1, F.lit(1)), F.substring(value, F.length(old[0]) + F.length(old[1]) + 2, F.lit(1)), F.lit(""))
+        number = {"y": F.year(new), "m": F.month(new), "d": F.day(new)}
+        # As wide as the field was, or as the number is.
+        field = lambda i, n: F.lpad(n, F.greatest(F.length(n), F.length(old[i])), "0")
+        return F.concat(*(x for i, o in enumerate(order) for x in (field(i, number[o].cast("string")), mark[i])))
+
+    days = F.transform(F.array(whole), lambda p: F.date_add(first, (p["a"] * DAYS_B + p["b"]).cast("int")))
+    lates = F.transform(F.array(part), lambda p: late_day(p["a"] * LATE_B + p["b"]))
+    return (
+        F.when(day.isNull(), F.transform(lates, lambda n: text(n, "m", "d", "y"))[0])
+        .when(F.length(F.split(value, "[./-]")[0]) == 4, F.transform(days, lambda n: text(n, "y", "m", "d"))[0])
+        .otherwise(F.transform(days, lambda n: text(n, "d", "m", "y"))[0])
+    )
 
 
 def _email(value: Column, key: str) -> Column:
@@ -191,11 +227,12 @@ def kind_of(value: Column) -> Column:
     octets = F.forall(part, lambda p: p.cast("int") <= 255)
     area = F.substring(value, 1, 3)
     used = ~area.isin("000", "666") & (area < "900") & (F.substring(value, 5, 2) != "00") & (F.substring(value, 8, 4) != "0000")
-    day = _ordinal(value)
+    day, late = _ordinal(value), _late(value)
+    real = ((day >= 0) & (day < DAYS_A * DAYS_B)) | (day.isNull() & (late >= 0) & (late < LATE_A * LATE_B))
     whole = lambda pattern: value.rlike(rf"^(?:{pattern})$")
     return (
         F.when(value.contains("@"), "email")
-        .when(whole(f"{ISO_DATE}|{DAY_DATE}"), F.when((day >= 0) & (day < DAYS_A * DAYS_B), F.lit("date")))
+        .when(whole(f"{ISO_DATE}|{YEAR_DATE}|{DAY_DATE}"), F.when(real, F.lit("date")))
         .when(whole(IP), F.when(octets, F.lit("ip")))
         .when(whole(SSN), F.when(used, F.lit("ssn")))
         .when(whole(CARD), F.when(F.call_function("luhn_check", digits), F.lit("card")))
