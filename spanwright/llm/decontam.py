@@ -9,12 +9,14 @@ of one hash function that are cut by a threshold, not by a count:
   threshold is the largest hash in its items' sketches.
 * A document's sample for a partition is all its shingle hashes up to that
   threshold, so an item's sketch values that the document has are all in it,
-  however long the document is.  Large items make low thresholds, and small
-  samples.
+  however long the document is.  What runs is one sample, cut by the highest
+  threshold of all partitions, and a join on the hash alone: a sketch's values
+  never exceed their own partition's threshold, so the partitions have no
+  effect on the result, nor on the size of the sample.
 * The share of an item's sketch found in a sample estimates its containment.
   Items that keep ``low`` of ``q`` values are candidates; at a containment of
-  0.75 the chance to keep fewer than 4 of 16 is under 1 in 10**6, and none
-  if the sketch is the whole item.  Exact containment over all the shingles of
+  0.75 the chance to keep fewer than 4 of 16 is 3.8 in 10**6, and none if the
+  sketch is the whole item.  Exact containment over all the shingles of
   a candidate's document confirms it.
 
 All of it is DataFrame operations: shingles are exploded and hashed within
