@@ -8,7 +8,7 @@ pseudonyms, and a pseudonym passes the validation that its original passed:
 kind      validated by                                    permuted
 ========  ==============================================  =====================
 card      13 to 19 digits with a right check digit        all but the check digit
-phone     10 national digits, with separators             the national digits
+phone     see below                                       the national digits
 ip        four numbers of 0 to 255                        all 32 bits
 ssn       area, group and serial in use                   the numbers in use
 date      a real day of 1900-01-01 to 2100-02-01          the day within these
@@ -22,18 +22,29 @@ the network is a permutation of the valid values without any search.
 A date is read day first if that is a real day, else month first.  Days that
 can only be read month first are permuted among themselves, so that no two
 dates of different texts meet; the day of one that is also written another way
-isn't linked to it.  A field of one digit stays without a leading zero.
+isn't linked to it.  A field of one digit stays without a leading zero.  A time
+may follow (``2024-02-29T10:00``).
 
-Left out, and so left in clear: phones of ten bare digits (not told from other
-numbers of ten digits), IPv6 addresses, two-digit years, months in words, cards
-in other groups than 4-4-4-1..7 and 4-6-4 or 5.
+A phone is one of three forms.  Ten national digits with separators: numbers
+that the North American plan can assign are permuted among these, others among
+the others.  Ten or eleven bare digits, only if that plan can assign them.  A
+plus sign, an assigned country code and 8 to 15 digits in all: the code and
+leading zeros stay, the other digits are permuted.
+
+Addresses with leading zeros keep the width of their parts.  Four numbers after
+a word for a version, or part of a longer row of numbers, are no address.
+
+Left out, and so left in clear: IPv6 addresses, two-digit years, months in
+words, cards in other groups than 4-4-4-1..7 and 4-6-4 or 5, phones of other
+plans without a plus sign.
 
 An e-mail address is neither number nor date: its local part is replaced by a
 keyed 12-digit number and its domain by a reserved one.  This keeps links, but
 two addresses may meet by chance, about once in 10**12 pairs.
 
 The text is split at the matches of one pattern and joined again with the
-pseudonyms, all by built-in functions.
+pseudonyms, all by built-in functions.  The pattern repeats no group but a
+possessive one, so its time and stack don't grow with the length of a match.
 """
 
 from __future__ import annotations
@@ -43,24 +54,40 @@ from pyspark.sql import functions as F
 
 ROUNDS = 10
 KINDS = ("email", "date", "ip", "card", "phone", "ssn")
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 YEAR_DATE = r"\d{4}/\d{1,2}/\d{1,2}"
 DAY_DATE = r"\d{1,2}[./]\d{1,2}[./]\d{4}"
+DATE = f"{ISO_DATE}|{YEAR_DATE}|{DAY_DATE}"
 IP = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 CARD = r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,19}"
+#: Ten national digits with separators, and what may stand before them.
+LOCAL = r"\d{3}[ .-]\d{3}[ .-]\d{4}"
 PHONE = r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+BARE = r"1?[2-9]\d{2}[2-9]\d{6}"
+ABROAD = r"\+[1-9]\d{0,2}(?:[ .-]?\(0\))?(?:[ .-]?\(?\d{2,4}\)?){2,5}"
 SSN = r"\d{3}-\d{2}-\d{4}"
+#: The country codes of ITU-T E.164.
+COUNTRIES = (
+    r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|21[12368]|2[2-6]\d|29[01789]|35\d|37\d|38[0-35-79]|42[013]"
+    r"|50\d|59\d|67[02-9]|68[0-35-9]|69[0-2]|80[08]|85[02356]|87\d|88[0-36]|96[0-8]|97[0-79]|99[2-68]"
+)
+#: Ten digits that the North American plan can assign: no area or exchange starts with 0 or 1, or is N11.
+ASSIGNABLE = r"^[2-9](?!11)\d{2}[2-9](?!11)\d{6}$"
+_START, _END = r"(?<![\p{L}\d])", r"(?![\p{L}\d])"
+_VERSION = r"(?<!\b(?i:version|release|firmware|section|build|ver|rev|v)[ .:=#]{1,2})"
 #: Leftmost match, first alternative; never within a longer number or word.
 #: A plus sign may precede a phone number only as its own.
 PATTERN = (
     rf"(?<![A-Za-z0-9._%+-]){EMAIL}"
-    rf"|(?<![\p{{L}}\d])(?:{ISO_DATE}|{YEAR_DATE}|{DAY_DATE}|{IP}|{CARD}|{SSN})(?![\p{{L}}\d])"
-    rf"|(?<![\p{{L}}\d]){PHONE}(?![\p{{L}}\d])"
+    rf"|{_START}(?=\d)(?:(?:{DATE})(?:{_END}|(?=[Tt]\d\d:?\d\d))|(?=\d{{1,3}}\.)(?<!\d\.){_VERSION}{IP}(?!\.\d){_END}|(?:{CARD}|{SSN}|{LOCAL}|{BARE}){_END})"
+    rf"|{_START}(?=[+(])(?:{PHONE}|{ABROAD}){_END}"
 )
 FIRST_DAY, DAYS_A, DAYS_B = "1900-01-01", 261, 280
 #: Of the 2401 months of these days, the days from the 13th on.
 LATE_A, LATE_B, EARLY = 204, 217, 12
+#: Of the three-digit codes, those that can be assigned, and the others.
+CODES, NO_CODES = 792, 208
 
 
 def _draw(key: str, kind: str, turn: Column, half: Column, size: Column) -> Column:
@@ -126,10 +153,75 @@ def _card(value: Column, key: str) -> Column:
     return _filled(value, checked)
 
 
+def _place(code: Column) -> Column:
+    """The number of an assignable code (200 to 999 but N11) among these."""
+    above = code - 200
+    return above - F.floor(above / 100) - F.when(above % 100 > 11, 1).otherwise(0)
+
+
+def _code(place: Column) -> Column:
+    rest = place % 99
+    return 200 + F.floor(place / 99) * 100 + rest + F.when(rest >= 11, 1).otherwise(0)
+
+
+def _other_place(code: Column) -> Column:
+    """The number of a code that can't be assigned (0 to 199 and N11) among these."""
+    return F.when(code < 200, code).otherwise(198 + F.floor(code / 100))
+
+
+def _other_code(place: Column) -> Column:
+    return F.when(place < 200, place).otherwise((place - 198) * 100 + 11)
+
+
+def _national(digits: Column, key: str) -> Column:
+    """Ten digits: assignable ones permuted among these, others among the others."""
+    area, exchange, line = (F.substring(digits, *at).cast("long") for at in ((1, 3), (4, 3), (7, 4)))
+    lines = F.lit(10_000).cast("long")
+    three = lambda code: F.lpad(code.cast("long").cast("string"), 3, "0")
+    four = lambda pair: F.lpad(pair["b"].cast("string"), 4, "0")
+    good = feistel(_place(area) * CODES + _place(exchange), line, F.lit(CODES * CODES).cast("long"), lines, key, "phone")
+    good = F.transform(F.array(good), lambda p: F.concat(three(_code(F.floor(p["a"] / CODES))), three(_code(p["a"] % CODES)), four(p)))[0]
+    # First the numbers of other areas, then those of other exchanges.
+    areas = NO_CODES * 1000
+    number = F.when(area.between(200, 999) & (area % 100 != 11), areas + _place(area) * NO_CODES + _other_place(exchange)).otherwise(_other_place(area) * 1000 + exchange)
+    rest = feistel(number, line, F.lit(areas + CODES * NO_CODES).cast("long"), lines, key, "other phone")
+    rest = F.transform(
+        F.array(rest),
+        lambda p: F.when(p["a"] < areas, F.concat(three(_other_code(F.floor(p["a"] / 1000))), three(p["a"] % 1000), four(p))).otherwise(
+            F.concat(three(_code(F.floor((p["a"] - areas) / NO_CODES))), three(_other_code((p["a"] - areas) % NO_CODES)), four(p))
+        ),
+    )[0]
+    return F.when(digits.rlike(ASSIGNABLE), good).otherwise(rest)
+
+
+def _abroad(digits: Column, key: str) -> Column:
+    """Digits from the country code on; the code and zeros after it stay."""
+    kept = F.regexp_extract(digits, rf"^(?:{COUNTRIES})0*", 0)
+    rest = F.substring(digits, F.length(kept) + 1, F.length(digits))
+    n = F.length(rest)
+    left = F.floor(n / 2).cast("int")
+    least = F.when(left > 0, _power(left - 1)).otherwise(F.lit(0).cast("long"))
+    pair = feistel(F.substring(rest, F.lit(1), left).cast("long") - least, F.substring(rest, left + 1, n).cast("long"), 9 * least, _power(n - left), key, "phone abroad")
+    return F.transform(F.array(pair), lambda p: F.concat(kept, (p["a"] + least).cast("string"), F.lpad(p["b"].cast("string"), n - left, "0")))[0]
+
+
 def _phone(value: Column, key: str) -> Column:
     digits = _digits(value)
     prefix = F.substring(digits, F.lit(1), F.length(digits) - 10)
-    return _filled(value, F.concat(prefix, permuted_digits(F.right(digits, F.lit(10)), key, "phone")))
+    local = F.concat(prefix, _national(F.right(digits, F.lit(10)), key))
+    return _filled(value, F.when(_is_local(value), local).otherwise(_abroad(digits, key)))
+
+
+def _is_local(value: Column) -> Column:
+    """Whether a phone is read by its last ten digits."""
+    return value.rlike(rf"^(?:{PHONE}|{BARE})$") | (value.startswith("+1") & (F.length(_digits(value)) == 11))
+
+
+def _is_phone(value: Column) -> Column:
+    digits = _digits(value)
+    own = F.right(digits, F.lit(10)).rlike(ASSIGNABLE)
+    known = digits.rlike(rf"^(?:{COUNTRIES})0{{0,2}}[1-9]\d{{3,}}$") & F.length(digits).between(8, 15)
+    return F.when(value.rlike(f"^(?:{PHONE})$"), F.lit(True)).when(_is_local(value), own).otherwise(value.startswith("+") & ~value.startswith("+1") & known)
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -142,8 +234,13 @@ def _ip(value: Column, key: str) -> Column:
         key,
         "ip",
     )
-    number = lambda p, x, y: F.concat_ws(".", *(c.cast("string") for c in (F.shiftright(p[x], 8), p[x] % 256, F.shiftright(p[y], 8), p[y] % 256)))
-    return F.transform(F.array(pair), lambda p: number(p, "a", "b"))[0]
+    filled = value.rlike(r"(?:^|\.)0\d")
+
+    def text(p: Column) -> Column:
+        numbers = [c.cast("string") for c in (F.shiftright(p["a"], 8), p["a"] % 256, F.shiftright(p["b"], 8), p["b"] % 256)]
+        return F.concat_ws(".", *(F.when(filled, F.lpad(n, F.greatest(F.length(n), F.length(part[i])), "0")).otherwise(n) for i, n in enumerate(numbers)))
+
+    return F.transform(F.array(pair), text)[0]
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -231,12 +328,12 @@ def kind_of(value: Column) -> Column:
     real = ((day >= 0) & (day < DAYS_A * DAYS_B)) | (day.isNull() & (late >= 0) & (late < LATE_A * LATE_B))
     whole = lambda pattern: value.rlike(rf"^(?:{pattern})$")
     return (
-        F.when(value.contains("@"), "email")
-        .when(whole(f"{ISO_DATE}|{YEAR_DATE}|{DAY_DATE}"), F.when(real, F.lit("date")))
+        F.when(value.contains("@"), F.when(value.rlike(r"@[A-Za-z0-9.-]*\.[A-Za-z]{2}"), F.lit("email")))
+        .when(whole(DATE), F.when(real, F.lit("date")))
         .when(whole(IP), F.when(octets, F.lit("ip")))
         .when(whole(SSN), F.when(used, F.lit("ssn")))
         .when(whole(CARD), F.when(F.call_function("luhn_check", digits), F.lit("card")))
-        .when(whole(PHONE), "phone")
+        .when(_is_phone(value), "phone")
     )
 
 
@@ -258,22 +355,23 @@ def pseudonymised(documents: DataFrame, key: str, text: str = "text", counts: bo
     """The documents with personal data in ``text`` replaced; all columns stay.
 
     With ``counts``, columns ``n_<kind>`` follow for the values replaced (a
-    column of that name in the input is replaced).  A null text stays null
-    with counts 0; text without personal data stays as it is, to the byte.
-    Equal values get equal pseudonyms under one ``key`` in any row.
+    column of that name in the input is replaced); no other name can clash.  A
+    null text stays null with counts 0; an empty one, and one without personal
+    data, stays as it is, to the byte.  Whole texts are read, whatever their
+    length.  Equal values get equal pseudonyms under one ``key`` in any row, so
+    ties and repeated rows need no rule; an empty table gives none.
     """
-    names = [f"n_{kind}" for kind in KINDS]
-    rest = [c for c in documents.columns if c != text and not (counts and c in names)]
-    body = F.col(f"`{text}`")
-    found = documents.select(*(F.col(f"`{c}`") for c in rest), body.alias(text), F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0)).alias("__found"))
-    new = F.transform("__found", lambda m: pseudonym(m, key))
+    names = documents.columns
+    added = [f"n_{kind}" for kind in KINDS] if counts else []
+    inner = [f"c{i}" for i in range(len(names))]
+    stay = [i for i, c in enumerate(names) if c not in added]
+    at = names.index(text)
+    body = F.col(inner[at])
+    found = documents.toDF(*inner).withColumn("found", F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0)))
     between = F.split(body, PATTERN, -1)
-    joined = F.concat_ws("", F.transform(F.arrays_zip(between.alias("p"), F.col("__new").alias("q")), lambda x: F.concat(x["p"], F.coalesce(x["q"], F.lit("")))))
-    result = found.withColumn("__new", new).withColumn(text, F.when(F.size("__found") > 0, joined).otherwise(body))
+    joined = F.concat_ws("", F.transform(F.arrays_zip(between.alias("p"), F.col("new").alias("q")), lambda x: F.concat(x["p"], F.coalesce(x["q"], F.lit("")))))
+    result = found.withColumn("new", F.transform("found", lambda m: pseudonym(m, key))).withColumn(inner[at], F.when(F.size("found") > 0, joined).otherwise(body))
     if counts:
-        kinds = F.transform("__found", kind_of)
-        result = result.withColumn("__kinds", kinds)
-        for kind, name in zip(KINDS, names):
-            number = F.size(F.array_remove(F.transform("__kinds", lambda k: F.coalesce(k == F.lit(kind), F.lit(False))), False))
-            result = result.withColumn(name, F.greatest(number, F.lit(0)).cast("long"))
-    return result.select(*(F.col(f"`{c}`") for c in documents.columns if c in rest or c == text), *(names if counts else []))
+        result = result.withColumn("kinds", F.transform("found", kind_of))
+    number = lambda kind: F.greatest(F.size(F.filter("kinds", lambda k: F.coalesce(k == F.lit(kind), F.lit(False)))), F.lit(0)).cast("long")
+    return result.select(*(inner[i] for i in stay), *(number(name[2:]).alias(name) for name in added)).toDF(*(names[i] for i in stay), *added)
