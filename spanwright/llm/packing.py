@@ -40,7 +40,7 @@ WINDOW = 512
 #: Distinct chunks that are encoded at once; chunks of a text whose ids are put together at once.
 AT_ONCE, RUN = 50_000, 1 << 20
 #: Most segments and loss-bearing tokens of one sequence.
-SEGMENTS, LOSS = 512, LENGTH
+SEGMENTS, LOSS = 16, 3968
 
 
 class WordTokenizer:
@@ -201,7 +201,9 @@ class Packer:
                 self._next()
             fits = alive & (self.vectors <= self.room).all(axis=1)
             if fits.any():
-                score = (self.vectors / self.limits) @ (self.room / self.limits)
+                tokens, one, loss = self.vectors.T
+                x, y, z = (self.room / self.limits / self.limits).tolist()
+                score = tokens * x + one * y + loss * z
                 best = int(np.argmax(np.where(fits, score, -1.0)))
                 tokens, _, loss = self.vectors[best]
                 yield self._place(*self.pieces[best], int(tokens), int(loss))
@@ -275,11 +277,12 @@ def packed(
     for each piece of each row of ``documents``.
 
     Ids are those of the tokenizer file, then ``end``; a null or empty text has
-    ``end`` alone.  ``loss_share`` (0 to 1, null: 0) is the share of an
-    example's tokens that bear loss, 1 unless given; a piece counts its share,
-    rounded up.  Pieces of a sequence are gapless from offset 0 and keep all
+    ``end`` alone, a long one as many pieces as it needs.  ``loss_share`` (0 to
+    1, null: 0) is the share of an example's tokens that bear loss, 1 unless
+    given; a piece counts its share, rounded up.  Pieces of a sequence are gapless from offset 0 and keep all
     three limits.  Rows that repeat a key, or have none, are packed each by
-    itself; an empty table gives no rows.
+    itself; of equal scores the piece that came first goes in; other columns
+    are ignored; an empty table gives no rows.
     """
     share = F.lit(1.0) if loss_share is None else loss_share.cast("double")
     rows = bounded_batches(documents).select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), share.alias("share"))
@@ -287,6 +290,16 @@ def packed(
     return rows.mapInArrow(lambda batches: _pieces(batches, tokenizer_path, (length, segments, loss), end), schema)
 
 
+def share_after_prompt(text: Column) -> Column:
+    """The share of a text's characters after its first line, which is its prompt.
+
+    1 for a text of one line, which has no prompt; 0 for a null or empty one.
+    """
+    first = F.length(F.substring_index(text, "\n", 1))
+    whole = F.length(text)
+    return F.when(whole > 0, F.when(first < whole, 1 - first / whole).otherwise(1.0)).otherwise(0.0)
+
+
 def conversation_examples(conversations: DataFrame) -> DataFrame:
     """(doc_id, text, loss_share) of each conversation: its turns in order, one
     line each; the share of its characters that the assistant wrote.

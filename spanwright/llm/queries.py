@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from spanwright.llm import langid, quality
 from spanwright.llm.common import table
 from spanwright.llm.decontam import CONTAINED_ITEMS, contained_items
-from spanwright.llm.licenses import license_matches
+from spanwright.llm.licenses import license_matches, license_sql
 from spanwright.llm.mpeg import media_features
 from spanwright.llm.neardup import near_duplicates
 from spanwright.llm.neardup_sql import NEAR_DUPLICATES
-from spanwright.llm.packing import packed
+from spanwright.llm.packing import conversation_examples, packed, share_after_prompt
 from spanwright.llm.pseudonyms import pseudonymised
 from spanwright.llm.secrets import secret_spans
 from spanwright.llm.sharding import hilbert_shards
@@ -71,15 +71,21 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed(table(spark, sf_dir, "documents"), tokenizer_path(), share_after_prompt(F.col("text")))
+
+
+def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packing of op10 over conversations, of which the assistant's turns bear loss."""
+    examples = conversation_examples(table(spark, sf_dir, "conversations"))
+    return packed(examples, tokenizer_path(), F.col("loss_share"), loss=2048)
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_media, op2_secrets, op3_licenses, op4_neardup, op5_decontamination,
-        op6_sharding, op7_pseudonyms, op8_language, op9_quality, op10_packing,
+        op6_sharding, op7_pseudonyms, op8_language, op9_quality, op10_packing, conversation_packing,
     )
 }
 
-ORACLE_SQL = {"op4_neardup": NEAR_DUPLICATES, "op5_decontamination": CONTAINED_ITEMS}
+ORACLE_SQL = {"op3_licenses": license_sql(), "op4_neardup": NEAR_DUPLICATES, "op5_decontamination": CONTAINED_ITEMS}

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanwright.llm import langid, mpeg, quality, sharding
-from spanwright.llm.packing import Packer, WordTokenizer, conversation_examples, packed
+from spanwright.llm.packing import Packer, WordTokenizer, conversation_examples, packed, share_after_prompt
 
 KIND = "doc_id long, text string"
 
@@ -158,6 +158,69 @@ def test_packer_keeps_all_limits():
         list(Packer(10, 5, 10, cut=False).add([(0, 11, 1.0)], flush=True))
 
 
+def plain_packing(examples, limits):
+    """Dot-product packing of a few examples at once, straight from its rule."""
+    length, out, sequence, top = limits[0], [], -1, -1
+    waiting = []
+    for name, tokens, share in examples:
+        at = 0
+        while tokens - at >= length and share <= limits[2] / length:
+            top += 1
+            out.append((name, at, length, top, 0))
+            at += length
+        if tokens > at:
+            waiting.append([name, at, tokens - at, int(round((tokens - at) * share))])
+    room = (0, 0, 0)
+    while waiting:
+        if sequence < 0 or not room[0] or not room[1]:
+            top += 1
+            sequence, room = top, limits
+        fits = [w for w in waiting if w[2] <= room[0] and 1 <= room[1] and w[3] <= room[2]]
+        if fits:
+            x, y, z = (r / m / m for r, m in zip(room, limits))
+            dot = lambda w: w[2] * x + y + w[3] * z
+            best = max(dot(w) for w in fits)
+            chosen = next(w for w in fits if dot(w) == best)
+            part, loss = chosen[2], chosen[3]
+        else:
+            chosen = next(w for w in waiting if w[2] == max(x[2] for x in waiting))
+            part = min(room[0], chosen[2])
+            part = min(part, room[2] * chosen[2] // chosen[3]) if chosen[3] else part
+            loss = min(chosen[3], room[2], -(-chosen[3] * part // chosen[2]))
+            if part <= 0:
+                room = (0, 0, 0)
+                continue
+        out.append((chosen[0], chosen[1], part, sequence, length - room[0]))
+        room = (room[0] - part, room[1] - 1, room[2] - loss)
+        chosen[1:] = [chosen[1] + part, chosen[2] - part, chosen[3] - loss]
+        waiting = [w for w in waiting if w[2]]
+    return out
+
+
+def test_packer_chooses_as_its_rule_says():
+    r = random.Random(7)
+    for _ in range(300):
+        limits = (r.choice((64, 128)), r.choice((3, 6)), r.choice((40, 64)))
+        examples = [(i, r.randint(1, 150), r.choice((0.0, 0.5, 0.9, 1.0, r.random()))) for i in range(r.randint(0, 40))]
+        assert list(Packer(*limits).add(examples, flush=True)) == plain_packing(examples, limits)
+
+
+def test_registered_limits_bind_with_little_padding():
+    r = random.Random(8)
+    examples = [(i, r.choice((r.randint(5, 120), r.randint(200, 1200), r.randint(1200, 9000))), r.choice((0.5, 0.9, 0.98, 1.0))) for i in range(3000)]
+    packer, out = Packer(), []
+    for i in range(0, len(examples), 256):
+        out += packer.add(examples[i : i + 256])
+    out += packer.add([], flush=True)
+    shares, counts, loss, tokens = {i: s for i, _, s in examples}, {}, {}, {}
+    for example, _, length, sequence, _ in out:
+        counts[sequence] = counts.get(sequence, 0) + 1
+        loss[sequence] = loss.get(sequence, 0) + length * shares[example]
+        tokens[sequence] = tokens.get(sequence, 0) + length
+    assert max(counts.values()) == 16 and max(tokens.values()) == 4096 and 3950 < max(loss.values()) <= 3968 + 16
+    assert sum(tokens.values()) / (4096 * len(tokens)) > 0.97
+
+
 @needs_tokenizer
 def test_packed_rows(spark):
     rows = [(i, "some words here " * (i % 50) ** 2) for i in range(200)] + [(None, None), (3, ""), (3, "again")]
@@ -171,4 +234,6 @@ def test_packed_rows(spark):
     assert total / (4096 * len({x.sequence_id for x in got})) > 0.95
     talk = spark.createDataFrame([(1, 2, "assistant", "yes"), (1, 1, "user", "really?"), (2, 1, None, None)], "conv_id long, turn long, role string, text string")
     examples = {x.doc_id: x for x in conversation_examples(talk).collect()}
+    shares = [x[0] for x in spark.createDataFrame([(None,), ("",), ("one line",), ("a\nbcd",), ("\nx",)], "t string").select(share_after_prompt(F.col("t"))).collect()]
+    assert shares == [0, 0, 1, pytest.approx(0.8), 1]
     assert examples[1].text == "really?\nyes" and examples[1].loss_share == pytest.approx(4 / 12) and examples[2].loss_share == 0
