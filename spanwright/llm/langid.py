@@ -6,7 +6,8 @@ drawn from a mixture of languages; expectation-maximisation finds the mixture's
 proportions, and the set of languages is the one of the largest penalised
 likelihood: languages enter by their share in the full mixture while the gain
 exceeds half the logarithm of the number of trigrams for each.  Trigrams
-overlap, so a third of the log-likelihood counts.
+overlap, so a third of the log-likelihood counts.  The iteration goes on until
+no proportion changes by ``SETTLED``, however small a language's share is.
 
 The distributions are learned from a bounded sample: of each language the
 ``PER_LANGUAGE`` labelled training rows of the smallest key hash, whole texts.
@@ -24,7 +25,11 @@ from spanwright.llm.common import bounded_batches, checked_broadcast, rows_of
 
 GRAMS = 1 << 14
 PER_LANGUAGE = 2000
-ROUNDS = 12
+#: Change of the proportions below which the mixture has converged.  Each round
+#: raises the likelihood, so it does; ROUNDS only ends cycles of rounding errors.
+SETTLED, ROUNDS = 1e-4, 10_000
+#: Distinct values of ``lang`` that can be learned; more raise, as they are no languages.
+MOST_LANGUAGES = 1000
 UNKNOWN = "und"
 ROWS = 4096
 
@@ -64,10 +69,12 @@ def gram_counts(text: str | None) -> np.ndarray | None:
 
 def mixture(counts: np.ndarray, likely: np.ndarray, start: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Proportions and log-likelihood by EM; ``likely`` is (grams, languages)."""
-    share, total = start, counts.sum()
+    share, weight = start, counts / counts.sum()
     for _ in range(rounds):
-        joint = likely * share
-        share = (counts @ (joint / joint.sum(axis=1, keepdims=True))) / total
+        before = share
+        share = share * ((weight / (likely @ share)) @ likely)
+        if np.abs(share - before).max() < SETTLED:
+            break
     return share, float(counts @ np.log(likely @ share))
 
 
@@ -83,8 +90,6 @@ def infer(counts: np.ndarray, model: np.ndarray) -> np.ndarray:
     best, value = np.eye(size)[order[0]], single[order[0]] / 3
     for k in range(2, size + 1):
         chosen = order[:k]
-        if full[chosen[-1]] < 0.01:
-            break
         share, fit = mixture(n, likely[:, chosen], np.maximum(full[chosen], 1e-3) / np.maximum(full[chosen], 1e-3).sum())
         new = fit / 3 - (k - 1) * np.log(n.sum()) / 2
         if new <= value:
@@ -128,10 +133,14 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: s
 
     Only rows that aren't held out, with a language, are read.  At most
     ``per_language`` keys of each language are used, so the sums that meet on
-    the driver are bounded by languages times GRAMS.
+    the driver are bounded by MOST_LANGUAGES times GRAMS; a table with more
+    languages raises.  Of rows that repeat a key, all are read; texts of any
+    length are read whole; an empty table gives no languages.
     """
     rows = bounded_batches(documents).select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.filter("lang is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
+    if (seen := rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different values of {lang}: {seen}")
     ids = _least_hashed(rows.select("lang", "doc_id"), per_language)
     sums = rows_of(rows, ids, "doc_id").select("lang", "text").mapInArrow(_counted, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     found = sums.toPandas()
@@ -171,7 +180,7 @@ def predict(documents: DataFrame, names: list[str], model: np.ndarray, key: str
     ``languages`` the whole mixture.  A text that is null or without a letter
     is ``und`` with score 0, and so is any text if no language was learned.
     Rows stand for themselves, whatever their keys; ties go to the first
-    language by name.
+    language by name; long texts are read whole; other columns are ignored.
     """
     rows = bounded_batches(documents).select(F.col(f"`{text}`").alias("__text"), F.col(f"`{key}`").cast("long").alias("doc_id"), *([F.col(f"`{text}`").alias("text")] if keep_text else []))
     kept = "doc_id long, " + ("text string, " if keep_text else "")
@@ -181,14 +190,17 @@ def predict(documents: DataFrame, names: list[str], model: np.ndarray, key: str
 def accepted(documents: DataFrame, least: float = 0.3, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows whose main language has ``least`` of the text or more, all columns.
 
-    Learns from the rows themselves.  Texts without a letter are rejected.
+    Learns from the rows themselves.  Texts without a letter are rejected; rows
+    stand for themselves, and columns may have any names.
     """
-    names, model = learn(documents, key, text, lang)
+    learned, model = learn(documents, key, text, lang)
+    names, inner = documents.columns, [f"c{i}" for i in range(len(documents.columns))]
+    body, rows = inner[names.index(text)], bounded_batches(documents).toDF(*inner)
 
     def chosen(batches):
         for batch in batches:
-            found = pa.Table.from_batches(_predicted([batch.select([text])], names, model))
+            found = pa.Table.from_batches(_predicted([batch.select([body])], learned, model))
             mask = np.array(found["score"].to_pylist()) >= least if batch.num_rows else []
             yield batch.filter(pa.array(mask, pa.bool_()))
 
-    return documents.mapInArrow(chosen, documents.schema)
+    return rows.mapInArrow(chosen, rows.schema).toDF(*names)
