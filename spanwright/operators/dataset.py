@@ -32,14 +32,28 @@ def drawn_split(ids: list[str], val: float = 0.15, test: float = 0.15, seed: int
 
 
 def hashed_split(frames: DataFrame, val: float = 0.15, test: float = 0.15, seed: int = 42, key: str = "video") -> DataFrame:
-    """(key, split) by the order of a hash of key and seed, without the driver."""
-    ids = frames.select(key).distinct()
-    order = Window.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))))
-    n = F.count("*").over(Window.partitionBy())
-    size = lambda share: F.greatest(F.lit(1), F.bround(n * share).cast("long"))
-    place = F.row_number().over(order)
+    """(key, split) by the order of a hash of key and seed, without the driver.
+
+    The hash's leading digits are counted first, so each id is ranked among
+    those of its cell alone, above the counts of the cells before.
+    """
+    token = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
+    ids = frames.select(key).distinct().withColumn("__token", token).withColumn("__cell", F.substring("__token", 1, 3))
+    # 4096 cells at most: a bounded broadcast.
+    cells = ids.groupBy("__cell").agg(F.count("*").alias("__n"))
+    upto, n = F.sum("__n").over(Window.orderBy("__cell")), F.sum("__n").over(Window.partitionBy())
+    cells = cells.select("__cell", (upto - F.col("__n")).alias("__before"), n.alias("__all"))
+    size = lambda share: F.greatest(F.lit(1), F.bround(F.col("__all") * share).cast("long"))
+    place = F.col("__before") + F.row_number().over(Window.partitionBy("__cell").orderBy("__token", key))
     split = F.when(place <= size(test), "test").when(place <= size(test) + size(val), "val").otherwise("train")
-    return ids.select(key, split.alias("split"))
+    return ids.join(F.broadcast(cells), "__cell").select(key, split.alias("split"))
+
+
+def with_split(frames: DataFrame, splits: dict[str, str], key: str = "video") -> DataFrame:
+    """The rows with the split of their key, from a map such as drawn_split() gives."""
+    rows = frames.sparkSession.createDataFrame(list(splits.items()), "__key string, split string")
+    held = F.broadcast(rows) if len(splits) <= 100_000 else rows
+    return frames.join(held, F.col(key).cast("string") == F.col("__key"), "left").drop("__key")
 
 
 def split_leaks(rows: DataFrame, key: str = "video") -> DataFrame:

@@ -7,15 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from spanwright.operators.calibration import ratio
-from spanwright.operators.intervals import iou, matched, numbered, overlap
+from spanwright.operators.intervals import aligned, blocks, iou, overlap
+
+
+def of_split(rows: DataFrame, split: str, column: str = "split") -> DataFrame:
+    """The rows of a split; ``all``, in any case, keeps every row.  None raises."""
+    found = rows if split.lower() == "all" else rows.filter(F.col(column) == split)
+    if not found.limit(1).count():
+        raise ValueError(f"no rows of split {split}")
+    return found
 
 
 def iou_pairs(truths: DataFrame, predictions: DataFrame, key: str = "video") -> DataFrame:
     """Overlapping pairs of truths and predictions of one key, with their IoU."""
-    a = numbered(truths, "truth_index", key).select(key, "truth_index", F.col("start").alias("s"), F.col("end").alias("e"))
-    b = numbered(predictions, "prediction_index", key).select(key, "prediction_index", F.col("start").alias("p"), F.col("end").alias("q"))
+    rows = blocks(truths, predictions, key)
+    a = rows.filter("side = 0").select(key, "block", F.col("number").alias("truth_index"), F.col("start").alias("s"), F.col("end").alias("e"))
+    b = rows.filter("side = 1").select(key, "block", F.col("number").alias("prediction_index"), F.col("start").alias("p"), F.col("end").alias("q"))
     value = iou(*(F.col(c) for c in ("s", "e", "p", "q")))
-    return a.join(b, key).filter("s < q and p < e").select(key, "truth_index", "prediction_index", value.alias("iou"))
+    return a.join(b, [key, "block"]).filter("s < q and p < e").select(key, "truth_index", "prediction_index", value.alias("iou"))
 
 
 def details(truths: DataFrame, predictions: DataFrame, least_iou: float = 0.5, split: str = "all", key: str = "video") -> DataFrame:
@@ -23,12 +32,7 @@ def details(truths: DataFrame, predictions: DataFrame, least_iou: float = 0.5, s
 
     Status: detected, below_iou_threshold, missed or extra_prediction.
     """
-    pairs = matched(truths, predictions, key)
-    a = numbered(truths, "truth_index", key).withColumnRenamed("start", "truth_start").withColumnRenamed("end", "truth_end")
-    b = numbered(predictions, "prediction_index", key).select(key, "prediction_index", F.col("start").alias("prediction_start"), F.col("end").alias("prediction_end"))
-    found = a.join(pairs, [key, "truth_index"], "left").join(b, [key, "prediction_index"], "left")
-    extra = b.join(pairs.select(key, "prediction_index"), [key, "prediction_index"], "left_anti")
-    rows = found.unionByName(extra, allowMissingColumns=True)
+    rows = aligned(truths, predictions, key)
     has = F.col("prediction_start").isNotNull()
     value = F.coalesce(F.when(has & F.col("truth_start").isNotNull(), iou(*(F.col(c) for c in ("truth_start", "truth_end", "prediction_start", "prediction_end")))), F.lit(0.0))
     status = (
@@ -59,26 +63,44 @@ def _rates(frame: DataFrame) -> DataFrame:
     return frame.withColumn("gap_preservation", F.when(F.col("gap_duration") > 0, 1 - F.col("gap_false_positive") / F.col("gap_duration")))
 
 
-def _counts() -> list:
-    truth, seen = F.col("truth_index").isNotNull(), F.col("detected")
-    count = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
-    return [
-        count(truth).alias("truth_segments"), count(F.col("prediction_index").isNotNull()).alias("predicted_segments"), count(seen).alias("detected_segments"),
-        F.avg(F.when(truth, F.col("temporal_iou"))).alias("mean_iou_all"), F.avg(F.when(seen, F.col("temporal_iou"))).alias("mean_iou_detected"),
-        F.avg(F.when(seen, F.abs("start_error"))).alias("start_mae"), F.avg(F.when(seen, F.abs("end_error"))).alias("end_mae"),
-    ]
+#: Sums that make up the means: over all truths, or over the detected ones.
+_MEANS = {"mean_iou_all": ("temporal_iou", False), "mean_iou_detected": ("temporal_iou", True), "start_mae": ("start_error", True), "end_mae": ("end_error", True)}
+
+
+def _means() -> dict:
+    count = {False: "truth_segments", True: "detected_segments"}
+    return {name: F.try_divide(F.col(f"__{name}"), F.col(count[detected])) for name, (_, detected) in _MEANS.items()}
 
 
-def by_series(found: DataFrame, between: DataFrame, key: str = "video") -> DataFrame:
-    """Counts, rates, errors and gap figures of each key; null where undefined."""
-    zero = {"gap_duration": 0.0, "gap_false_positive": 0.0}
-    out = _rates(found.groupBy("split", key).agg(*_counts()).join(between, key, "left").fillna(zero))
+def by_series(found: DataFrame, between: DataFrame, key: str = "video", keys: DataFrame | None = None, sums: bool = False) -> DataFrame:
+    """Counts, rates, errors and gap figures of each key; null where undefined.
+
+    With ``keys`` (key), keys with neither truth nor prediction have a row too.
+    ``sums`` keeps the columns that overall() needs.
+    """
+    truth, seen = F.col("truth_index").isNotNull(), F.col("detected")
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
+    total = lambda c, detected: F.coalesce(F.sum(F.when(seen if detected else truth, F.abs(c))), F.lit(0.0))
+    counts = ["truth_segments", "predicted_segments", "detected_segments"]
+    out = found.groupBy("split", key).agg(
+        count(truth).alias(counts[0]), count(F.col("prediction_index").isNotNull()).alias(counts[1]), count(seen).alias(counts[2]),
+        *(total(c, detected).alias(f"__{name}") for name, (c, detected) in _MEANS.items()),
+    )
+    if keys is not None:
+        split = found.agg(F.max("split").alias("__split"))
+        out = keys.select(key).distinct().join(out, key, "left").crossJoin(F.broadcast(split)).withColumn("split", F.coalesce("split", "__split")).drop("__split")
+        out = out.fillna(0, counts).fillna(0.0, [f"__{name}" for name in _MEANS])
+    out = out.join(between, key, "left").fillna({"gap_duration": 0.0, "gap_false_positive": 0.0})
+    out = _rates(out.withColumns(_means()))
     whole = F.col("detected_segments") == F.col("truth_segments")
-    return out.withColumn("all_detected", whole).withColumn("exact_detection", whole & (F.col("false_positive_segments") == 0))
+    out = out.withColumn("all_detected", whole).withColumn("exact_detection", whole & (F.col("false_positive_segments") == 0))
+    return out if sums else out.drop(*(f"__{name}" for name in _MEANS))
 
 
-def overall(found: DataFrame, series: DataFrame) -> DataFrame:
-    """One row for each split: sums of counts, rates of the sums, means over segments."""
+def overall(series: DataFrame) -> DataFrame:
+    """One row for each split, of by_series() with its sums: sums of counts, rates
+    of the sums, means over segments."""
     flags = [F.sum(F.col(c).cast("long")).alias(n) for c, n in (("all_detected", "series_all_detected"), ("exact_detection", "series_exact_detection"))]
-    sums = series.groupBy("split").agg(F.count("*").alias("n_series"), F.sum("gap_duration").alias("gap_duration"), F.sum("gap_false_positive").alias("gap_false_positive"), *flags)
-    return _rates(found.groupBy("split").agg(*_counts()).join(sums, "split"))
+    names = ["truth_segments", "predicted_segments", "detected_segments", "gap_duration", "gap_false_positive", *(f"__{name}" for name in _MEANS)]
+    sums = series.groupBy("split").agg(F.count("*").alias("n_series"), *(F.sum(c).alias(c) for c in names), *flags)
+    return _rates(sums.withColumns(_means())).drop(*(f"__{name}" for name in _MEANS))

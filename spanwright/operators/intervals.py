@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 from pyspark.sql.window import Window
 
 
@@ -21,11 +23,21 @@ def iou(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Colum
 def labelled(points: DataFrame, ranges: DataFrame, key: str = "video", time: str = "t", name: str = "label") -> DataFrame:
     """1 where a point lies in a half-open range of its key, else 0.
 
-    The ranges of a key travel as one array, so the join is on the key alone
-    and no pair of point and range becomes a row.
+    A point is in some range if the latest end of the ranges that start by then
+    is after it.  The starts and latest ends of a key travel as one sorted
+    array, in which each point is found by halves; so the join is on the key
+    alone, and no pair of point and range becomes a row.
     """
-    held = ranges.groupBy(key).agg(F.collect_list(F.struct("start", "end")).alias("__ranges"))
-    inside = F.exists("__ranges", lambda r: (r["start"] <= F.col(time)) & (F.col(time) < r["end"]))
+    order = Window.partitionBy(key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    reached = ranges.filter("end > start").select(key, "start", F.max("end").over(order).alias("reach"))
+    held = reached.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("start", "reach"))).alias("__ranges"))
+    n, t = F.size("__ranges"), F.col(time)
+    begun = F.aggregate(
+        F.lit([1 << i for i in reversed(range(31))]),
+        F.lit(0),
+        lambda at, step: F.when((step <= n - at) & F.coalesce(F.get("__ranges", at + step - 1)["start"] <= t, F.lit(False)), at + step).otherwise(at),
+    )
+    inside = F.get("__ranges", begun - 1)["reach"] > t
     return points.join(held, key, "left").withColumn(name, F.coalesce(inside, F.lit(False)).cast("int")).drop("__ranges")
 
 
@@ -75,27 +87,58 @@ def best_matching(truths: list[tuple], predictions: list[tuple]) -> dict[int, in
     return found
 
 
-def matched(truths: DataFrame, predictions: DataFrame, key: str = "video") -> DataFrame:
-    """(key, truth_index, prediction_index) of the best ordered matching, from 1.
+def blocks(truths: DataFrame, predictions: DataFrame, key: str = "video") -> DataFrame:
+    """(key, side, number, start, end, block) of truths (side 0) and predictions (1).
 
-    ``truths`` and ``predictions`` have (key, start, end); both are taken in
-    order of time.  Only a key's intervals meet in a task.
+    Intervals of different blocks of a key don't overlap, so pairs and matchings
+    are found for each block by itself.  ``number`` counts a side's intervals in
+    the order of time, from 1.
     """
+    side = lambda frame, i: frame.select(key, F.lit(i).alias("side"), *(F.col(c).cast("double").alias(c) for c in ("start", "end")))
+    order = Window.partitionBy(key).orderBy("start", "end", "side")
+    fresh = F.coalesce(F.col("start") >= F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    rows = side(truths, 0).unionByName(side(predictions, 1)).withColumn("fresh", fresh.cast("int"))
+    rows = rows.withColumn("block", F.sum("fresh").over(order)).drop("fresh")
+    return rows.withColumn("number", F.row_number().over(Window.partitionBy(key, "side").orderBy("start", "end")))
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def _partners(s: pd.Series, e: pd.Series, p: pd.Series, q: pd.Series) -> pd.Series:
+    """For each truth of a block, the place of its prediction, or -1."""
+
+    def partners(*sides: np.ndarray) -> list[int]:
+        s, e, p, q = (x.tolist() for x in sides)
+        found = best_matching(list(zip(s, e)), list(zip(p, q)))
+        return [found.get(i, -1) for i in range(len(s))]
 
-    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        sides = [list(f.sort_values(["start", "end"])[["start", "end"]].itertuples(index=False, name=None)) for f in (left, right)]
-        pairs = best_matching(*sides)
-        value = (left if len(left) else right)[key].iloc[0]
-        # Objects: an empty column of strings would be a chunked array.
-        return pd.DataFrame({key: pd.Series([value] * len(pairs), dtype=object), "truth_index": [i + 1 for i in pairs], "prediction_index": [j + 1 for j in pairs.values()]})
+    return pd.Series([partners(*row) for row in zip(s, e, p, q)])
 
-    kind = truths.schema[key].dataType.simpleString()
-    sides = [f.select(key, "start", "end").groupBy(key) for f in (truths, predictions)]
-    return sides[0].cogroup(sides[1]).applyInPandas(match, f"{key} {kind}, truth_index int, prediction_index int")
 
+def aligned(truths: DataFrame, predictions: DataFrame, key: str = "video") -> DataFrame:
+    """A row for each truth with its prediction of the best ordered matching, if
+    any, and for each prediction without a truth; indices from 1 in time.
 
-def numbered(intervals: DataFrame, name: str, key: str = "video") -> DataFrame:
-    return intervals.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy("start", "end")))
+    ``truths`` and ``predictions`` have (key, start, end).  Only a block of
+    overlapping intervals meets in a row, and only those of three or more are
+    matched in Python.
+    """
+    item = lambda i: F.sort_array(F.collect_list(F.when(F.col("side") == i, F.struct("number", "start", "end"))))
+    found = blocks(truths, predictions, key).groupBy(key, "block").agg(item(0).alias("t"), item(1).alias("p"))
+    simple = (F.size("t") == 0) | (F.size("p") == 0) | (F.size("t") + F.size("p") == 2)
+    alone = found.filter(simple).withColumn("m", F.transform("t", lambda x, i: F.when(F.size("p") > i, i).otherwise(-1)))
+    rest = found.filter(~simple).withColumn("m", _partners("t.start", "t.end", "p.start", "p.end"))
+    pair = lambda x, y: F.struct(x.alias("t"), y.alias("p"))
+    none = F.lit(None).cast("struct<number:int,start:double,end:double>")
+    of_truths = F.transform("t", lambda x, i: pair(x, F.when(F.get("m", i) >= 0, F.get("p", F.get("m", i)))))
+    others = F.filter(F.transform("p", lambda y, j: F.when(~F.array_contains("m", j), pair(none, y))), lambda r: r.isNotNull())
+    rows = alone.unionByName(rest).select(key, F.explode(F.concat(of_truths, others)).alias("r"))
+    parts = [(f"{n}_{c}", f"r.{s}.{o}") for s, n in (("t", "truth"), ("p", "prediction")) for c, o in (("index", "number"), ("start", "start"), ("end", "end"))]
+    return rows.select(key, *(F.col(path).alias(name) for name, path in parts))
+
+
+def matched(truths: DataFrame, predictions: DataFrame, key: str = "video") -> DataFrame:
+    """(key, truth_index, prediction_index) of the best ordered matching, from 1."""
+    return aligned(truths, predictions, key).filter("truth_index is not null and prediction_index is not null").select(key, "truth_index", "prediction_index")
 
 
 def overlap_faults(ranges: DataFrame, key: str = "video") -> DataFrame:

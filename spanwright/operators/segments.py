@@ -23,11 +23,11 @@ def smoothed(frames: DataFrame, window: int, key: str = "video", time: str = "t"
     return frames.withColumn(name, F.avg(score).over(_series(key, time).rowsBetween(-half, half)))
 
 
-def with_step(frames: DataFrame, key: str = "video", time: str = "t", name: str = "step") -> DataFrame:
-    """The median of the positive time differences of the row's series; 0 without any."""
+def steps(frames: DataFrame, key: str = "video", time: str = "t", name: str = "step") -> DataFrame:
+    """(key, step): the median of the positive time differences of a series; 0 without any."""
     gap = F.col(time) - F.lag(time).over(_series(key, time))
-    marked = frames.withColumn("__gap", F.when(gap > 0, gap))
-    return marked.withColumn(name, F.coalesce(F.median("__gap").over(Window.partitionBy(key)), F.lit(0.0))).drop("__gap")
+    marked = frames.select(key, gap.alias("__gap"))
+    return marked.groupBy(key).agg(F.coalesce(F.median(F.when(F.col("__gap") > 0, F.col("__gap"))), F.lit(0.0)).alias(name))
 
 
 def islands(frames: DataFrame, positive: Column, key: str = "video", time: str = "t") -> DataFrame:
@@ -37,11 +37,14 @@ def islands(frames: DataFrame, positive: Column, key: str = "video", time: str =
     ends one median step after its last row.  Null counts as not positive.
     """
     order = _series(key, time)
-    rows = with_step(frames, key, time).withColumn("__on", F.coalesce(positive, F.lit(False)))
-    rows = rows.withColumn("__next", F.coalesce(F.lead(time).over(order), F.col(time) + F.col("step")))
+    rows = frames.select(key, time, F.coalesce(positive, F.lit(False)).alias("__on"), F.lead(time).over(order).alias("__next"))
     opened = F.col("__on") & ~F.coalesce(F.lag("__on").over(order), F.lit(False))
     rows = rows.withColumn("__run", F.sum(F.when(opened, 1).otherwise(0)).over(order))
-    return rows.filter("__on").groupBy(key, "__run").agg(F.min(time).alias("start"), F.max("__next").alias("end")).drop("__run")
+    runs = rows.filter("__on").groupBy(key, "__run").agg(
+        F.min(time).alias("start"), F.max("__next").alias("__upto"), F.max(F.when(F.col("__next").isNull(), F.col(time))).alias("__last")
+    )
+    end = F.greatest("__upto", F.col("__last") + F.col("step"))
+    return runs.join(steps(frames, key, time), key).select(key, "start", end.alias("end"))
 
 
 def merged(segments: DataFrame, gap: float = 0.0, least: float = 0.0, key: str = "video") -> DataFrame:

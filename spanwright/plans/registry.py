@@ -59,7 +59,7 @@ for _w in (3, 5, 7):
 @query(f"""WITH {v.FRAMES}, g AS (SELECT video, t - lag(t) OVER (PARTITION BY video ORDER BY t) AS gap FROM frames)
 SELECT video, round(coalesce(median(gap) FILTER (gap > 0), 0), 6) AS step FROM g GROUP BY video""")
 def frame_step_median(spark, d):
-    return sg.with_step(v.frames(spark, d)).groupBy("video").agg(F.round(F.first("step"), 6).alias("step"))
+    return sg.steps(v.frames(spark, d)).select("video", F.round("step", 6).alias("step"))
 
 
 @query(f'WITH {v.RAW_SEGMENTS} SELECT video, "start" AS start_seconds, "end" AS end_seconds FROM raw')
@@ -68,7 +68,7 @@ def islands(spark, d):
     return found.select("video", F.col("start").alias("start_seconds"), F.col("end").alias("end_seconds"))
 
 
-@query(f"""WITH {v.TRUTHS}, {v.merged_sql("out_", "runs", 21600.0, 3600.0)}
+@query(f"""WITH {v.TRUTHS}, {v.merged_sql("out_", "truths", 21600.0, 3600.0)}
 SELECT video, "start" AS start_seconds, "end" AS end_seconds FROM out_""")
 def merge_gap_min_duration(spark, d):
     runs = sg.islands(v.frames(spark, d), F.col("event_type").isin("purchase", "view"))
@@ -135,13 +135,13 @@ def time_grid(spark, d):
     return iv.time_grid(windows, 0.5).select("video", "frame_index", "t")
 
 
-@query(f"WITH {v.MATCHING} SELECT video, i::INT AS truth_index, j::INT AS prediction_index, round(iou, 9) AS iou FROM pairs")
+@query(f"WITH RECURSIVE {v.MATCHING} SELECT video, i::INT AS truth_index, j::INT AS prediction_index, round(iou, 9) AS iou FROM pairs")
 def segment_iou_pairs(spark, d):
     found = ev.iou_pairs(v.truths(spark, d), v.predictions(spark, d))
     return found.select("video", "truth_index", "prediction_index", F.round("iou", 9).alias("iou"))
 
 
-@query(f"WITH {v.MATCHING} SELECT video, i::INT AS truth_index, j::INT AS prediction_index FROM matched")
+@query(f"WITH RECURSIVE {v.MATCHING} SELECT video, i::INT AS truth_index, j::INT AS prediction_index FROM matched")
 def ordered_matching(spark, d):
     return iv.matched(v.truths(spark, d), v.predictions(spark, d))
 
@@ -150,7 +150,7 @@ def _details(spark, d):
     return ev.details(v.truths(spark, d), v.predictions(spark, d))
 
 
-@query(f"""WITH {v.DETAILS} SELECT video, i::INT AS truth_index, j::INT AS prediction_index, status, status = 'detected' AS detected,
+@query(f"""WITH RECURSIVE {v.DETAILS} SELECT video, i::INT AS truth_index, j::INT AS prediction_index, status, status = 'detected' AS detected,
   ts AS truth_start, te AS truth_end, ps AS prediction_start, pe AS prediction_end, ps - ts AS start_error, pe - te AS end_error, round(iou, 9) AS temporal_iou FROM details""")
 def segment_details(spark, d):
     return _details(spark, d).drop("split").withColumn("temporal_iou", F.round("temporal_iou", 9))
@@ -168,17 +168,22 @@ def _rounded(frame: DataFrame) -> DataFrame:
     return frame.drop("split")
 
 
+def _by_series(spark, d, **options) -> DataFrame:
+    """Figures of every series, with or without truths and predictions."""
+    truths, predictions = v.truths(spark, d), v.predictions(spark, d)
+    return ev.by_series(ev.details(truths, predictions), ev.gaps(truths, predictions), keys=v.frames(spark, d), **options)
+
+
 _MEANS_SQL = ", ".join(f"round({c}, 6) AS {c}" for c in _MEANS)
 
 
-@query(f"""WITH {v.BY_SERIES} SELECT video, truth_segments, predicted_segments, detected_segments, {_MEANS_SQL}, {v.RATES},
+@query(f"""WITH RECURSIVE {v.BY_SERIES} SELECT video, truth_segments, predicted_segments, detected_segments, {_MEANS_SQL}, {v.RATES},
   detected_segments = truth_segments AS all_detected, detected_segments = truth_segments AND predicted_segments = detected_segments AS exact_detection FROM series""")
 def segment_metrics_by_video(spark, d):
-    truths, predictions = v.truths(spark, d), v.predictions(spark, d)
-    return _rounded(ev.by_series(ev.details(truths, predictions), ev.gaps(truths, predictions)))
+    return _rounded(_by_series(spark, d))
 
 
-@query(f"""WITH {v.BY_SERIES},
+@query(f"""WITH RECURSIVE {v.BY_SERIES},
 total AS (
   SELECT (SELECT count(i) FROM details) AS truth_segments, (SELECT count(j) FROM details) AS predicted_segments,
     (SELECT count(*) FROM details WHERE status = 'detected') AS detected_segments, (SELECT avg(iou) FROM details WHERE i IS NOT NULL) AS mean_iou_all,
@@ -188,55 +193,7 @@ total AS (
     count(*) FILTER (detected_segments = truth_segments AND predicted_segments = detected_segments) AS series_exact_detection FROM series)
 SELECT truth_segments, predicted_segments, detected_segments, {_MEANS_SQL}, n_series, series_all_detected, series_exact_detection, {v.RATES} FROM total""")
 def segment_metrics(spark, d):
-    truths, predictions = v.truths(spark, d), v.predictions(spark, d)
-    found = ev.details(truths, predictions)
-    return _rounded(ev.overall(found, ev.by_series(found, ev.gaps(truths, predictions))))
-
-
-# The same over all truths of a series. An ordered matching of any number of
-# intervals has no plain SQL; the tests compare it with brute force.
-
-
-@query(f"""WITH {v.FRAMES}, {v.EVERY_TRUTH_PART} SELECT event_id, video,
-  (EXISTS (SELECT 1 FROM truths r WHERE r.video = f.video AND r."start" <= f.t AND f.t < r."end"))::INT AS inside FROM frames f""")
-def interval_label_join_all(spark, d):
-    return iv.labelled(v.frames(spark, d), v.every_truth(spark, d), name="inside").select("event_id", "video", "inside")
-
-
-@query(f"""WITH {v.PREDICTIONS}, {v.EVERY_TRUTH_PART},
-tn AS (SELECT *, row_number() OVER (PARTITION BY video ORDER BY "start", "end") AS i FROM truths),
-pn AS (SELECT *, row_number() OVER (PARTITION BY video ORDER BY "start", "end") AS j FROM predictions),
-both_ AS (
-  SELECT tn.video, i, j, least(tn."end", pn."end") - greatest(tn."start", pn."start") AS shared, tn."end" - tn."start" + pn."end" - pn."start" AS lengths
-  FROM tn JOIN pn ON tn.video = pn.video AND tn."start" < pn."end" AND pn."start" < tn."end")
-SELECT video, i::INT AS truth_index, j::INT AS prediction_index, round(shared / (lengths - shared), 9) AS iou FROM both_""")
-def segment_iou_pairs_all(spark, d):
-    found = ev.iou_pairs(v.every_truth(spark, d), v.predictions(spark, d))
-    return found.select("video", "truth_index", "prediction_index", F.round("iou", 9).alias("iou"))
-
-
-@query()
-def ordered_matching_all(spark, d):
-    return iv.matched(v.every_truth(spark, d), v.predictions(spark, d))
-
-
-@query()
-def segment_details_all(spark, d):
-    found = ev.details(v.every_truth(spark, d), v.predictions(spark, d))
-    return found.drop("split").withColumn("temporal_iou", F.round("temporal_iou", 9))
-
-
-@query()
-def segment_metrics_by_video_all(spark, d):
-    truths, predictions = v.every_truth(spark, d), v.predictions(spark, d)
-    return _rounded(ev.by_series(ev.details(truths, predictions), ev.gaps(truths, predictions)))
-
-
-@query()
-def segment_metrics_all(spark, d):
-    truths, predictions = v.every_truth(spark, d), v.predictions(spark, d)
-    found = ev.details(truths, predictions)
-    return _rounded(ev.overall(found, ev.by_series(found, ev.gaps(truths, predictions))))
+    return _rounded(ev.overall(_by_series(spark, d, sums=True)))
 
 
 # Calibration.

@@ -25,16 +25,9 @@ def frames(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def every_truth(spark: SparkSession, d: str) -> DataFrame:
-    """All runs of purchases and views of each series."""
-    return islands(frames(spark, d), F.col("event_type").isin("purchase", "view"))
-
-
 def truths(spark: SparkSession, d: str) -> DataFrame:
-    """The first two runs of purchases and views of each series."""
-    found = every_truth(spark, d)
-    first = Window.partitionBy("video").orderBy("start")
-    return found.withColumn("n", F.row_number().over(first)).filter("n <= 2").drop("n")
+    """The runs of purchases and views of each series."""
+    return islands(frames(spark, d), F.col("event_type").isin("purchase", "view"))
 
 
 def predictions(spark: SparkSession, d: str) -> DataFrame:
@@ -96,11 +89,9 @@ def merged_sql(name: str, source: str, gap: float, least: float) -> str:
 SMOOTHED = f"{FRAMES},\nsmoothed AS (SELECT *, {smooth_sql(5)} AS smoothed FROM frames)"
 RAW_SEGMENTS = f"{SMOOTHED},\n{islands_sql('raw', 'smoothed', 'smoothed >= 0.5')}"
 PREDICTIONS = f"{RAW_SEGMENTS},\n{merged_sql('predictions', 'raw', GAP, LEAST)}"
-TRUTH_PART = f"""{islands_sql('runs', 'frames', "event_type IN ('purchase', 'view')")},
-truths AS (SELECT video, "start", "end" FROM (SELECT *, row_number() OVER (PARTITION BY video ORDER BY "start") AS n FROM runs) WHERE n <= 2)"""
+TRUTH_PART = islands_sql("truths", "frames", "event_type IN ('purchase', 'view')")
 TRUTHS = f"{FRAMES},\n{TRUTH_PART}"
 BOTH = f"{PREDICTIONS},\n{TRUTH_PART}"
-EVERY_TRUTH_PART = islands_sql("truths", "frames", "event_type IN ('purchase', 'view')")
 DETECTIONS = """lines AS (
   SELECT *, l_orderkey * 500 + row_number() OVER (PARTITION BY l_orderkey
     ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS n FROM lineitem),
@@ -120,12 +111,28 @@ pairs AS (
   SELECT tn.video, i, j, (least(tn."end", pn."end") - greatest(tn."start", pn."start")) /
     ((tn."end" - tn."start") + (pn."end" - pn."start") - (least(tn."end", pn."end") - greatest(tn."start", pn."start"))) AS iou
   FROM tn JOIN pn ON tn.video = pn.video AND tn."start" < pn."end" AND pn."start" < tn."end"),
-choices AS (
-  SELECT video, [i] AS ti, [j] AS pj, iou AS total, 1 AS n FROM pairs
+sizes AS (SELECT video, n, m FROM (SELECT video, count(*) AS n FROM tn GROUP BY video) JOIN (SELECT video, count(*) AS m FROM pn GROUP BY video) USING (video)),
+cells AS (
+  SELECT s.video, s.n, s.m, list(coalesce(iou, 0) ORDER BY tn.i, pn.j) AS v
+  FROM sizes s JOIN tn ON tn.video = s.video JOIN pn ON pn.video = s.video LEFT JOIN pairs ON pairs.video = s.video AND pairs.i = tn.i AND pairs.j = pn.j GROUP BY s.video, s.n, s.m),
+-- The best sums of the first i truths and j predictions, cell by cell; step: 1 leaves out the truth, 2 the prediction, 3 pairs them.
+sums AS (
+  SELECT video, n, m, v, 0::BIGINT AS k, []::STRUCT(s DOUBLE, c INT, step INT)[] AS best FROM cells
+  UNION ALL
+  SELECT video, n, m, v, k + 1, list_append(best, CASE WHEN iou > 0 AND row(round(d.s + iou, 12), d.c + 1) > row(round(u.s, 12), u.c) THEN {{'s': d.s + iou, 'c': d.c + 1, 'step': 3}} ELSE u END)
+  FROM (
+    SELECT video, n, m, v, k, best, iou, d, CASE WHEN row(round(l.s, 12), l.c) > row(round(u.s, 12), u.c) THEN {{'s': l.s, 'c': l.c, 'step': 2}} ELSE {{'s': u.s, 'c': u.c, 'step': 1}} END AS u
+    FROM (
+      SELECT *, v[k + 1] AS iou, CASE WHEN k >= m THEN best[k - m + 1] ELSE z END AS u, CASE WHEN k % m > 0 THEN best[k] ELSE z END AS l,
+        CASE WHEN k >= m AND k % m > 0 THEN best[k - m] ELSE z END AS d
+      FROM (SELECT *, {{'s': 0::DOUBLE, 'c': 0::INT, 'step': 0::INT}} AS z FROM sums WHERE k < n * m)))),
+solved AS (SELECT video, n, m, best FROM sums WHERE k = n * m),
+walk AS (
+  SELECT video, n AS i, m AS j, best[n * m].step AS step FROM solved
   UNION ALL
-  SELECT a.video, [a.i, b.i], [a.j, b.j], a.iou + b.iou, 2 FROM pairs a JOIN pairs b ON a.video = b.video AND a.i < b.i AND a.j < b.j),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video ORDER BY round(total, 12) DESC, n DESC) AS k FROM choices) WHERE k = 1),
-matched AS (SELECT video, unnest(ti) AS i, unnest(pj) AS j FROM best)"""
+  SELECT w.video, w.i, w.j, CASE WHEN w.i > 0 AND w.j > 0 THEN f.best[(w.i - 1) * f.m + w.j].step END
+  FROM (SELECT video, i - (step <> 2)::INT AS i, j - (step <> 1)::INT AS j FROM walk WHERE step IS NOT NULL) w JOIN solved f ON f.video = w.video),
+matched AS (SELECT video, i, j FROM walk WHERE step = 3)"""
 DETAILS = f"""{MATCHING},
 details AS (
   SELECT tn.video, tn.i, m.j, tn."start" AS ts, tn."end" AS te, pn."start" AS ps, pn."end" AS pe, coalesce(pairs.iou, 0) AS iou,
@@ -147,8 +154,9 @@ counted AS (
     avg(abs(ps - ts)) FILTER (status = 'detected') AS start_mae, avg(abs(pe - te)) FILTER (status = 'detected') AS end_mae
   FROM details GROUP BY video),
 series AS (
-  SELECT c.*, coalesce(gap_duration, 0) AS gap_duration, coalesce(gap_false_positive, 0) AS gap_false_positive
-  FROM counted c LEFT JOIN gapped USING (video))"""
+  SELECT video, coalesce(truth_segments, 0) AS truth_segments, coalesce(predicted_segments, 0) AS predicted_segments, coalesce(detected_segments, 0) AS detected_segments,
+    mean_iou_all, mean_iou_detected, start_mae, end_mae, coalesce(gap_duration, 0) AS gap_duration, coalesce(gap_false_positive, 0) AS gap_false_positive
+  FROM (SELECT DISTINCT video FROM frames) LEFT JOIN counted USING (video) LEFT JOIN gapped USING (video))"""
 RATES = """predicted_segments - detected_segments AS false_positive_segments, truth_segments - detected_segments AS missed_segments,
   round(coalesce(detected_segments / nullif(predicted_segments, 0), 0), 9) AS segment_precision,
   round(coalesce(detected_segments / nullif(truth_segments, 0), 0), 9) AS segment_recall,

@@ -76,3 +76,42 @@ def test_order_faults_and_sessions(spark):
     data = frame(spark, [("a", 0.0, 0.0), ("a", 0.0, 0.0), ("a", -1.0, 0.0), ("b", 1.0, 0.0), ("b", 9.0, 0.0), ("b", 12.0, 0.0)])
     assert sg.order_faults(data).count() == 2
     assert rows(sg.sessions(data.filter("video = 'b'"), 5.0), "start", "end", "n") == [(1.0, 1.0, 1), (9.0, 12.0, 2)]
+
+
+def test_split_of_a_map_and_labels_of_overlapping_ranges(spark):
+    from spanwright.operators.dataset import drawn_split, with_split
+    from spanwright.operators.intervals import labelled
+
+    names = [f"v{i}" for i in range(20)]
+    splits = drawn_split(names)
+    frames = spark.createDataFrame([(n, float(t)) for n in names for t in range(3)], "video string, t double")
+    got = with_split(frames, splits).collect()
+    assert len(got) == 60 and all(x.split == splits[x.video] for x in got)
+    ranges = spark.createDataFrame([("v0", 0.0, 10.0), ("v0", 1.0, 2.0), ("v0", 5.0, 5.0), ("v0", 12.0, 13.0), ("v1", 3.0, 4.0)], "video string, start double, end double")
+    points = spark.createDataFrame([("v0", float(t)) for t in range(-1, 15)] + [("v1", 3.5), ("v2", 3.5), ("v0", None)], "video string, t double")
+    inside = {(x.video, x.t): x.label for x in labelled(points, ranges).collect()}
+    assert all(inside["v0", float(t)] == int(0 <= t < 10 or t == 12) for t in range(-1, 15)) and inside["v1", 3.5] == 1 and inside["v2", 3.5] == inside["v0", None] == 0
+
+
+def test_a_split_or_all_or_an_error(spark):
+    import pytest
+
+    from spanwright.operators.evaluation import of_split
+
+    rows = spark.createDataFrame([(1, "train"), (2, "val")], "k int, split string")
+    assert [x.k for x in of_split(rows, "val").collect()] == [2] and of_split(rows, "ALL").count() == 2
+    with pytest.raises(ValueError):
+        of_split(rows, "test")
+
+
+def test_series_without_truth_or_prediction_have_a_row(spark):
+    from spanwright.operators import evaluation as ev
+
+    kind = "video string, start double, end double"
+    truths, predictions = spark.createDataFrame([("a", 0.0, 10.0)], kind), spark.createDataFrame([("a", 1.0, 10.0), ("b", 0.0, 5.0)], kind)
+    keys = spark.createDataFrame([("a",), ("b",), ("c",), ("c",)], "video string")
+    series = ev.by_series(ev.details(truths, predictions), ev.gaps(truths, predictions), keys=keys, sums=True)
+    got = {x.video: (x.truth_segments, x.predicted_segments, x.detected_segments, x.mean_iou_all, x.exact_detection) for x in series.collect()}
+    assert got == {"a": (1, 1, 1, 0.9, True), "b": (0, 1, 0, None, False), "c": (0, 0, 0, None, True)}
+    total = ev.overall(series).first()
+    assert (total.n_series, total.truth_segments, total.predicted_segments, total.start_mae) == (3, 1, 2, 1.0)
