@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -23,11 +24,17 @@ SUBSTITUTES = r"\bsubstitutes?\b"
 
 def plain(value: object) -> str:
     """Lower-case words of ASCII letters and digits, accents removed, single blanks."""
-    letters = unicodedata.normalize("NFKD", str(value))
+    return _plain(str(value))
+
+
+@lru_cache(1 << 14)
+def _plain(value: str) -> str:
+    letters = unicodedata.normalize("NFKD", value)
     letters = "".join(c for c in letters if not unicodedata.combining(c)).casefold()
     return " ".join(re.findall("[a-z0-9]+", letters))
 
 
+@lru_cache(1 << 16)
 def alike(left: str, right: str) -> float:
     """Matching-block ratio of two normalised texts, in this order; 0 if one is empty."""
     return SequenceMatcher(None, left, right).ratio() if left and right else 0.0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,11 +34,6 @@ def threshold_grid(low: int = 5, high: int = 95) -> list[float]:
     return [k / 100 for k in range(low, high + 1)]
 
 
-def default_grid() -> list[float]:
-    """0.05 to 0.95 by 0.01, as floating-point steps."""
-    return [float(x) for x in np.arange(0.05, 0.951, 0.01)]
-
-
 def sweep(frames: DataFrame, grid: list[float], score: str = "score", label: str = "label", by: tuple = ()) -> DataFrame:
     """Confusion and metrics at each threshold of an ascending grid.
 
@@ -100,5 +94,5 @@ def class_weights(frames: DataFrame, label: str = "label") -> DataFrame:
     return counts.select(label, "n", (total / (2 * F.col("n"))).alias("weight"))
 
 
-def weighted_mean(rows: DataFrame, value: str, weight: str) -> DataFrame:
-    return rows.agg((F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias("mean"))
+def weighted_mean(rows: DataFrame, value: str, weight: str, by: tuple = ()) -> DataFrame:
+    return rows.groupBy(*by).agg((F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias("mean"))

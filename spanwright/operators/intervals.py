@@ -141,7 +141,7 @@ def matched(truths: DataFrame, predictions: DataFrame, key: str = "video") -> Da
     return aligned(truths, predictions, key).filter("truth_index is not null and prediction_index is not null").select(key, "truth_index", "prediction_index")
 
 
-def overlap_faults(ranges: DataFrame, key: str = "video") -> DataFrame:
-    """Ranges that start before the one before them ends, in order of starts."""
-    before = F.max("end").over(Window.partitionBy(key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1))
+def overlap_faults(ranges: DataFrame, key: str = "video", order: tuple = ("start", "end")) -> DataFrame:
+    """Ranges that start before one before them ends, in order of starts."""
+    before = F.max("end").over(Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     return ranges.withColumn("__before", before).filter("start < __before").drop("__before")

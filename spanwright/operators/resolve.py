@@ -10,8 +10,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
-from itertools import combinations
 from statistics import fmean, median
+from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -34,6 +34,7 @@ class Row:
     x1: float | None = None
     width: float | None = None
     norm: str = field(default="", compare=False)
+    path: str | None = None
 
     @property
     def left(self) -> float:
@@ -53,6 +54,13 @@ class Options:
     same_gap: float = 20.0
     same_signature: float = 0.45
 
+    def checked(self) -> Options:
+        if self.players <= 0 or self.least_numbers <= 0:
+            raise ValueError("players and least_numbers must be positive")
+        if self.same_gap < 0 or not 0 <= self.same_signature <= 1:
+            raise ValueError("same_gap must not be negative, and same_signature lie between 0 and 1")
+        return self
+
 
 class Unresolved(ValueError):
     """A segment's detections that give no whole lineup."""
@@ -120,6 +128,8 @@ class Pair:
     x: float
     y: float
     left: float
+    #: Whether number and name are two detections.
+    apart: bool = True
 
     @property
     def weight(self) -> float:
@@ -133,7 +143,7 @@ def table_pairs(rows: list[Row]) -> list[Pair]:
     for frame, members in sorted(by_frame(rows).items()):
         time = members[0].time
         inlined = {r.row_id: inline(r.text) for r in members}
-        out += [Pair(*inlined[r.row_id], r.score, r.score, frame, time, r.x, r.y, r.left) for r in members if inlined[r.row_id]]
+        out += [Pair(*inlined[r.row_id], r.score, r.score, frame, time, r.x, r.y, r.left, False) for r in members if inlined[r.row_id]]
         numbers = [r for r in members if r.number]
         for name in members:
             if name.kind == NUMBER or inlined[name.row_id] or not name_like(name.norm, NO_TABLE_NAMES):
@@ -338,8 +348,43 @@ def number_of(cluster: Cluster) -> tuple[int, float, int]:
     return best, fmean(r.score for r in by[best]), len({r.frame for r in by[best]})
 
 
-def full_name(label: str, rows: list[Row], others: set[str]) -> tuple[str, float, int]:
-    """The longer name that contains a label: a neighbour of it, or a stack of texts."""
+@dataclass(frozen=True)
+class Stack:
+    """Two or three names of a frame, one above the other."""
+
+    frame: int
+    rows: tuple[Row, ...]
+    text: str
+    norm: str
+    score: float
+
+
+def _above(a: Row, b: Row) -> bool:
+    return abs(a.x - b.x) <= 0.065 and abs(a.y - b.y) <= 0.14
+
+
+def stacks(rows: list[Row]) -> list[Stack]:
+    """The stacks of each frame: pairs, then triples, in the order of their rows."""
+    out = []
+    for frame, members in by_frame([r for r in rows if r.kind != NUMBER]).items():
+        names = [r for r in members if name_like(r.norm)]
+        near = {i: [j for j in range(i + 1, len(names)) if _above(names[i], names[j])] for i in range(len(names))}
+        pairs = [(i, j) for i in near for j in near[i]]
+        triples = [(i, j, k) for i, j in pairs for k in near[j] if _above(names[i], names[k])]
+        for group in (*pairs, *triples):
+            stack = tuple(sorted((names[i] for i in group), key=lambda r: r.y))
+            if any(b.y - a.y > 0.09 for a, b in zip(stack, stack[1:])):
+                continue
+            text = "-".join(part.strip() for part in " ".join(r.text.strip() for r in stack).split("-"))
+            out.append(Stack(frame, stack, text, plain(text), fmean(r.score for r in stack)))
+    return out
+
+
+def full_name(label: str, rows: list[Row], others: set[str], stacked: list[Stack] | None = None) -> tuple[str, float, int]:
+    """The longer name that contains a label: a neighbour of it, or a stack of texts.
+
+    ``stacked`` are the stacks of ``rows``, which don't depend on the label.
+    """
     norm = plain(label)
     texts = [r for r in rows if r.kind != NUMBER]
     seen = {n: alike(n, norm) >= 0.82 for n in {r.norm for r in texts}}
@@ -363,37 +408,39 @@ def full_name(label: str, rows: list[Row], others: set[str]) -> tuple[str, float
             text = " ".join(r.text.strip() for r in sorted((a, b), key=lambda r: (r.y, r.x)))
             if norm in plain(text) and len(plain(text).split()) <= 6:
                 vote(text, a.score * b.score, a.frame)
-    for frame, members in frames.items():
-        usable = [r for r in members if name_like(r.norm) and (r.norm not in others or seen[r.norm])]
-        for size in (2, 3):
-            for group in combinations(usable, size):
-                stack = sorted(group, key=lambda r: r.y)
-                if max(r.x for r in stack) - min(r.x for r in stack) > 0.065 or stack[-1].y - stack[0].y > 0.14 or any(b.y - a.y > 0.09 for a, b in zip(stack, stack[1:])):
-                    continue
-                text = "-".join(part.strip() for part in " ".join(r.text.strip() for r in stack).split("-"))
-                if norm in plain(text) and len(plain(text)) > len(norm):
-                    vote(text, fmean(r.score for r in stack), frame)
+    for stack in stacks(rows) if stacked is None else stacked:
+        if norm in stack.norm and len(stack.norm) > len(norm) and all(r.norm not in others or seen[r.norm] for r in stack.rows):
+            vote(stack.text, stack.score, stack.frame)
     if not votes:
         return label, fmean(r.score for r in own) if own else 0.0, len({r.frame for r in own})
     text, confidence, evidence = consensus(list(votes.values()), 0.87)
     return (text if len(plain(text)) > len(norm) else label), confidence, evidence
 
 
+# What a diagnosis says.
+WHOLE_TABLE = "Complete repeated table/list consensus."
+PART_OF_TABLE = "table/list pass found {}/{} players"
+ADDED, UNAVAILABLE = "local {} OCR added {} number observations", "local {} OCR unavailable: {}"
+NO_FORMATION = "no formation snapshot found"
+FEW_SLOTS = "Only {} player slots found for lineup {}; expected {}."
+NO_LABELS = "{} player slot(s) have no nearby name label for lineup {}."
+
+
 def event_lineup(event: Event, rows: list[Row], end: float, index: int, players: int) -> list[dict]:
     shots = [r for r in rows if r.frame in set(event.frames)]
     chosen = players_of(clusters(shots), shots, players)
     if len(chosen) < players:
-        raise Unresolved(f"lineup {index}: {len(chosen)} of {players} player slots")
+        raise Unresolved(FEW_SLOTS.format(len(chosen), index, players))
     labels = [consensus(c.labels) for c in chosen]
     if missing := sum(not text for text, _, _ in labels):
-        raise Unresolved(f"lineup {index}: {missing} player slots without a label")
+        raise Unresolved(NO_LABELS.format(missing, index))
     start = min(event.times)
     during = [r for r in rows if start <= r.time < end]
-    norms = {plain(text) for text, _, _ in labels}
+    norms, stacked = {plain(text) for text, _, _ in labels}, stacks(during)
     records = []
     for slot, (c, (label, label_confidence, label_frames)) in enumerate(zip(chosen, labels, strict=True), start=1):
         number, number_confidence, number_frames = number_of(c)
-        name, confidence, frames = full_name(label, during, norms - {plain(label)})
+        name, confidence, frames = full_name(label, during, norms - {plain(label)}, stacked)
         records.append({
             "lineup_index": index, "resolution_method": "formation", "formation_timestamp_seconds": start, "slot_index": slot, "row_index": c.visual_row,
             "shirt_number": number, "formation_label": label, "player_name": name, "number_confidence": round(number_confidence, 6), "label_confidence": round(label_confidence, 6),
@@ -418,49 +465,76 @@ def formation_lineups(rows: list[Row], segment_end: float, options: Options) ->
     return len(found), records, errors
 
 
-#: A hook that reads numbers again in a segment's images: (rows, layout) -> more rows.
-Retry = Callable[[list[Row], str], list[Row]]
+class Reader(Protocol):
+    """Reads numbers again in a segment's images, and returns the rows to add."""
+
+    def table(self, rows: list[Row], players: int) -> list[Row]: ...
+
+    def formation(self, rows: list[Row]) -> list[Row]: ...
+
+
+#: Makes a reader; called on the first segment of a worker that needs one.
+MakeReader = Callable[[], Reader]
+_READERS: dict[MakeReader, Reader] = {}
 
 
-def resolve_segment(rows: list[Row], segment_end: float, options: Options, retry: Retry | None = None) -> tuple[list[dict], dict]:
+def _reader(make: MakeReader) -> Reader:
+    if make not in _READERS:
+        _READERS[make] = make()
+    return _READERS[make]
+
+
+def resolve_segment(rows: list[Row], segment_end: float, options: Options, make_reader: MakeReader | None = None) -> tuple[list[dict], dict]:
     """Records and a diagnosis of one segment: table first, then formations, each
-    again with retried numbers if there is a recogniser."""
+    again with numbers that were read again, if the rows know their images.
+
+    A reader that can't be made, or fails, is noted, and the cascade goes on.
+    """
     messages: list[str] = []
+    can_read = make_reader is not None and any(r.path for r in rows)
 
     def done(records: list[dict], method: str) -> tuple[list[dict], dict]:
         for r in records:
             r["resolution_method"] = method
         return records, {"status": "resolved" if records else "unresolved", "resolution_method": method if records else "", "resolved_players": len(records), "message": "; ".join(messages)}
 
+    def read_again(layout: str, read: Callable[[Reader], list[Row]]) -> list[Row]:
+        try:
+            more = read(_reader(make_reader))
+        except (ImportError, OSError, ValueError) as error:
+            messages.append(UNAVAILABLE.format(layout, error))
+            return []
+        if more:
+            messages.append(ADDED.format(layout, len(more)))
+        return more
+
     records, n = table_lineup(rows, options.players)
     if records:
-        messages.append("complete table")
+        messages.append(WHOLE_TABLE)
         return done(records, "table")
     if n:
-        messages.append(f"table: {n}/{options.players} players")
-    if retry and 4 <= n < options.players:
-        if more := retry(rows, "table"):
-            rows = rows + more
-            messages.append(f"table retry added {len(more)} numbers")
-            records, _ = table_lineup(rows, options.players)
-            if records:
-                return done(records, "table+local_ocr")
+        messages.append(PART_OF_TABLE.format(n, options.players))
+    if can_read and 4 <= n < options.players and (more := read_again("table", lambda r: r.table(rows, options.players))):
+        rows = rows + more
+        records, _ = table_lineup(rows, options.players)
+        if records:
+            return done(records, "table+local_ocr")
     count, records, errors = formation_lineups(rows, segment_end, options)
     if count and not errors:
         return done(records, "formation")
     method = "formation"
-    if retry and retry_frames(rows) and (more := retry(rows, "formation")):
+    if can_read and retry_frames(rows) and (more := read_again("formation", lambda r: r.formation(rows))):
         rows = rows + more
-        messages.append(f"formation retry added {len(more)} numbers")
         method = "formation+local_ocr"
         count, records, errors = formation_lineups(rows, segment_end, options)
     if not count:
-        messages.append("no formation snapshot")
+        messages.append(NO_FORMATION)
         return done([], "")
     messages.extend(errors)
     return done(records, method)
 
 
+# The columns of the results.
 RECORD = (
     "lineup_index int, resolution_method string, formation_timestamp_seconds double, slot_index int, row_index int, shirt_number int, formation_label string, "
     "player_name string, number_confidence double, label_confidence double, name_confidence double, pair_confidence double, number_evidence_frames int, "
@@ -471,21 +545,25 @@ DIAGNOSIS = "status string, resolution_method string, resolved_players int, mess
 
 def rows_from(group: pd.DataFrame) -> list[Row]:
     group = group.sort_values("row_id")
-    has = {"x1", "frame_width"} <= set(group.columns)
+    has, image = {"x1", "frame_width"} <= set(group.columns), "frame_path" in group.columns
     return [
-        Row(int(r.row_id), int(r.frame_index), float(r.timestamp_seconds), str(r.text), str(r.text_type), float(r.score), float(r.x), float(r.y), float(r.x1) if has else None, float(r.frame_width) if has else None, plain(r.text))
+        Row(
+            int(r.row_id), int(r.frame_index), float(r.timestamp_seconds), str(r.text), str(r.text_type), float(r.score), float(r.x), float(r.y),
+            float(r.x1) if has else None, float(r.frame_width) if has else None, plain(r.text), r.frame_path if image else None,
+        )
         for r in group.itertuples()
-    ]
+    ]
 
 
-def resolved(detections: DataFrame, options: Options | None = None, retry: Retry | None = None, diagnose: bool = False, layout: str = "all") -> DataFrame:
+def resolved(detections: DataFrame, options: Options | None = None, make_reader: MakeReader | None = None, diagnose: bool = False, layout: str = "all") -> DataFrame:
     """Lineups (or diagnoses) of each (video, segment_index).
 
     ``layout`` restricts the cascade to ``table`` or ``formation``.  Detections
     need row_id, frame_index, timestamp_seconds, text, text_type, score, x, y
-    and segment_end_seconds.
+    and segment_end_seconds; with frame_path, ``make_reader`` may read numbers
+    again in the images.
     """
-    options = options or Options()
+    options = (options or Options()).checked()
 
     def resolve(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
         rows, end = rows_from(group), float(group["segment_end_seconds"].max())
@@ -494,7 +572,7 @@ def resolved(detections: DataFrame, options: Options | None = None, retry: Retry
         elif layout == "formation":
             records, diagnosis = formation_lineups(rows, end, options)[1], {}
         else:
-            records, diagnosis = resolve_segment(rows, end, options, retry)
+            records, diagnosis = resolve_segment(rows, end, options, make_reader)
         out = pd.DataFrame([diagnosis] if diagnose else records, columns=[c.split()[0] for c in (DIAGNOSIS if diagnose else RECORD).split(", ")])
         out.insert(0, "video", keys[0])
         out.insert(1, "segment_index", keys[1])

@@ -86,9 +86,3 @@ def decided(frames: DataFrame, threshold: float, raw_threshold: float, float32:
     kind = "float" if float32 else "double"
     on = lambda c, t: F.coalesce(F.nanvl(F.col(c).cast(kind), F.lit(None)) >= F.lit(t).cast(kind), F.lit(False)).cast("int")
     return frames.withColumn("raw_pred_label", on("score", raw_threshold)).withColumn("pred_label", on("smoothed_score", threshold))
-
-
-def crop(x: Column, y: Column, width: Column, height: Column, left: float, right: float, up: float, down: float) -> Column:
-    """A rectangle around a point in shares of an image, within it, in whole pixels."""
-    side = lambda at, shift, size: F.least(F.greatest(F.floor((at + shift) * size), F.lit(0)), size).cast("int")
-    return F.struct(side(x, -left, width).alias("x1"), side(y, -up, height).alias("y1"), side(x, right, width).alias("x2"), side(y, down, height).alias("y2"))

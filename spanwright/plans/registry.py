@@ -19,7 +19,8 @@ from spanwright.operators import resolve as rs
 from spanwright.operators import scoring as sc
 from spanwright.operators import segments as sg
 from spanwright.plans import views as v
-from spanwright.sources import sinks
+from spanwright.operators import training as tr
+from spanwright.sources import sinks, tables
 from spanwright.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +110,14 @@ def interval_label_orders(spark, d):
     return iv.labelled(points, ranges, key="l_orderkey", name="inside").drop("t")
 
 
+@query("""WITH r AS (SELECT o_custkey AS video, o_orderkey, o_orderdate AS s, o_orderdate + INTERVAL 60 DAY AS e FROM orders)
+SELECT video, o_orderkey FROM (SELECT *, max(e) OVER (PARTITION BY video ORDER BY s, e, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r) WHERE s < before""")
+def overlap_check(spark, d):
+    start = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{v.EPOCH}', o_orderdate)") / 1e6
+    ranges = read(spark, d, "orders").select(F.col("o_custkey").alias("video"), "o_orderkey", start.alias("start"), (start + 60 * 86400.0).alias("end"))
+    return iv.overlap_faults(ranges, order=("start", "end", "o_orderkey")).select("video", "o_orderkey")
+
+
 @query(f"""WITH {v.FRAMES} SELECT split, video, count(*) AS n_rows, sum(label)::BIGINT AS n_positive, count(DISTINCT event_type) AS n_keys
 FROM frames GROUP BY split, video""")
 def label_summary(spark, d):
@@ -239,6 +248,12 @@ def window_threshold_grid(spark, d):
     return cal.window_grid(v.frames(spark, d))
 
 
+@query(f"""WITH {v.FRAMES}, {_GRID}, valued AS ({_WINDOWS}), {_sweep_sql("valued", '"window",')}
+SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (ORDER BY f1 DESC, recall DESC, precision DESC, abs(threshold - 0.5), "window") AS k FROM swept) WHERE k = 1""")
+def best_smoothing_window(spark, d):
+    return cal.best_window(cal.window_grid(v.frames(spark, d)))
+
+
 @query(f"WITH {v.FRAMES}, c AS (SELECT label, count(*) AS n FROM frames GROUP BY label) SELECT label, n, (SELECT sum(n) FROM c)::BIGINT / (2 * n) AS weight FROM c")
 def class_weights(spark, d):
     return cal.class_weights(v.frames(spark, d))
@@ -246,8 +261,7 @@ def class_weights(spark, d):
 
 @query(f"WITH {v.FRAMES} SELECT split, round(sum(score * label) / sum(score), 9) AS mean FROM frames GROUP BY split")
 def weighted_mean_loss(spark, d):
-    frames = v.frames(spark, d)
-    return frames.groupBy("split").agg(F.round(F.sum(F.col("label") * F.col("score")) / F.sum("score"), 9).alias("mean"))
+    return cal.weighted_mean(v.frames(spark, d), "label", "score", by=("split",)).withColumn("mean", F.round("mean", 9))
 
 
 # Data sets.
@@ -532,6 +546,17 @@ def best_numeric_element(spark, d):
     return best.select("video", "frame_index", F.col("b.text").alias("text"), F.col("b.score").alias("score"))
 
 
+@query(f"""WITH {v.DETECTIONS} SELECT video, frame_index, count(*)::INT AS n, sum(len(text))::BIGINT AS letters, round(max(score), 9) AS best FROM detections GROUP BY video, frame_index""")
+def json_results(spark, d):
+    """Results of a recogniser as JSON, with and without an envelope, read back."""
+    rows = _arrays(spark, d)
+    inner = F.struct("texts", "scores")
+    wrapped = F.when(F.col("frame_index") % 2 == 0, F.to_json(F.struct(inner.alias("res")))).otherwise(F.to_json(inner))
+    back = rows.select("video", "frame_index", tables.unwrapped(wrapped, "texts array<string>, scores array<double>").alias("r"))
+    letters = F.aggregate("r.texts", F.lit(0).cast("long"), lambda n, t: n + F.length(t))
+    return back.select("video", "frame_index", F.size("r.texts").alias("n"), letters.alias("letters"), F.round(F.array_max("r.scores"), 9).alias("best"))
+
+
 # Scoring.
 
 _WEIGHTS = [((i * 37) % 64 - 31.5) / 64 for i in range(64)]
@@ -555,6 +580,26 @@ def threshold_decisions(spark, d):
     return sc.decided(f, 0.5, 0.4).select("event_id", "raw_pred_label", "pred_label")
 
 
+@query()
+def classifier_epochs(spark, d):
+    """The epochs of a classifier of embeddings, label 0 against the others, in two stages."""
+    rows = read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"), (F.col("label") == 0).cast("int").alias("label"))
+    held = F.col("id") % 5 == 0
+    found = tr.train(rows.filter(~held), rows.filter(held), [tr.Stage(3, 0.05, tuple(range(32))), tr.Stage(4, 0.05)], patience=2, augment=True)
+    kind = "stage int, epoch int, threshold double, f1 double, recall double, precision double"
+    return spark.createDataFrame([tuple(e.values()) for e in found.epochs], kind)
+
+
+@query(f"""WITH {v.FRAMES}, ids AS (SELECT DISTINCT video FROM frames) SELECT event_id, CASE WHEN video IN (SELECT video FROM ids ORDER BY video::VARCHAR LIMIT 3) THEN 'test'
+  WHEN video IN (SELECT video FROM ids ORDER BY video::VARCHAR LIMIT 5) THEN 'val' ELSE 'train' END AS split FROM frames""")
+def split_of_map(spark, d):
+    """Rows joined with a split by explicit ids."""
+    frames = v.frames(spark, d).withColumn("key", F.col("video").cast("string"))
+    ids = sorted(r[0] for r in frames.select("key").distinct().collect())
+    splits = ds.drawn_split(ids, test_ids=tuple(ids[:3]), val_ids=tuple(ids[3:5]))
+    return ds.with_split(frames.drop("split"), splits, "key").select("event_id", "split")
+
+
 # Resolvers: order decides, so no SQL; unit tests state their rows.
 
 
@@ -568,6 +613,28 @@ def _segments(spark, d) -> DataFrame:
 _OPTIONS = rs.Options(players=3, least_numbers=2, same_gap=5.0)
 
 
+@query(f"""WITH {v.LINEUPS} SELECT video, k::INT AS segment_index, late::INT + 1 AS lineup_index, CASE WHEN tab THEN 'table' ELSE 'formation' END AS resolution_method,
+  (late * 61.5)::DOUBLE AS formation_timestamp_seconds, row_number() OVER (PARTITION BY k, late ORDER BY CASE WHEN tab THEN i ELSE pitch_row END, pitch_x)::INT AS slot_index,
+  (CASE WHEN tab THEN i ELSE pitch_row END + 1)::INT AS row_index, number::INT AS shirt_number, n_name AS formation_label, n_name AS player_name,
+  round(number_score, 6) AS number_confidence, round(label_score, 6) AS label_confidence,
+  round(CASE WHEN tab THEN label_score ELSE any_score END, 6) AS name_confidence,
+  round(CASE WHEN tab THEN pair_score ELSE (number_score * label_score * any_score) ** (1 / 3) END, 6) AS pair_confidence,
+  seen::INT AS number_evidence_frames, label_frames::INT AS label_evidence_frames, label_frames::INT AS full_name_evidence_frames,
+  round(CASE WHEN tab THEN 0.2 ELSE pitch_x END, 6)::DOUBLE AS slot_center_x_norm, round(CASE WHEN tab THEN 0.1 + 0.07 * i ELSE 0.1 + 0.2 * pitch_row END, 6)::DOUBLE AS slot_center_y_norm
+FROM found""")
+def lineup_records(spark, d):
+    """All columns of resolved lineups, of segments whose lineups are known by rule."""
+    return rs.resolved(v.lineups(spark, d), rs.Options())
+
+
+@query("""SELECT 'v' || s_nationkey AS video, s_suppkey::INT AS segment_index, CASE WHEN k IN (2, 3) THEN 'unresolved' ELSE 'resolved' END AS status,
+  CASE k WHEN 0 THEN 'table' WHEN 1 THEN 'formation' WHEN 4 THEN 'formation' ELSE '' END AS resolution_method, CASE k WHEN 0 THEN 11 WHEN 1 THEN 11 WHEN 4 THEN 22 ELSE 0 END::INT AS resolved_players,
+  CASE k WHEN 0 THEN 'Complete repeated table/list consensus.' WHEN 2 THEN 'table/list pass found 10/11 players; Only 10 player slots found for lineup 1; expected 11.' WHEN 3 THEN 'Only 10 player slots found for lineup 1; expected 11.' ELSE '' END AS message
+FROM (SELECT *, s_suppkey % 5 AS k FROM supplier)""")
+def lineup_diagnostics(spark, d):
+    return rs.resolved(v.lineups(spark, d), rs.Options(), diagnose=True)
+
+
 @query()
 def events_by_gap_signature(spark, d):
     def step(keys, group):

@@ -54,6 +54,46 @@ def detections(spark: SparkSession, d: str) -> DataFrame:
     return number.unionByName(name).withColumn("norm", normalized_ascii(F.col("text")))
 
 
+#: Rows of a pitch: slots 0; 1 to 4; 5 to 7; 8 to 10.
+_PITCH_ROW, _PITCH_COLUMN = (0, 1, 1, 1, 1, 2, 2, 2, 3, 3, 3), (1, 0, 1, 2, 3, 0, 1, 2, 0, 1, 2)
+
+
+def lineups(spark: SparkSession, d: str) -> DataFrame:
+    """A segment for each supplier, of eleven nations as players in three frames.
+
+    A player's name is six to nine letters of a digest of the nation's.
+    By the supplier's key: a table; a formation; either with a player missing;
+    or a formation that changes after a minute.  Names are misspelt in the
+    second frame, a wrong number is seen once, and the table's scores differ.
+    """
+    k, i, f = F.col("k"), F.col("i"), F.col("f")
+    slots = read(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.concat(F.lit("v"), F.col("s_nationkey").cast("string")).alias("video"))
+    slots = slots.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(10)))).withColumn("f", F.explode(F.sequence(F.lit(0), F.when(k % 5 == 4, 5).otherwise(2))))
+    slots = slots.filter(~(k % 5).isin(2, 3) | (i < 10)).withColumn("n_nationkey", (k + 2 * i + F.floor(f / 3) * 5) % 25)
+    nations = read(spark, d, "nation")
+    digest = F.substring(F.md5("n_name"), F.lit(1), (6 + F.col("n_nationkey") % 4).cast("int"))
+    rows = slots.join(nations.select("n_nationkey", F.upper(F.translate(digest, "0123456789", "ghijklmnop")).alias("n_name")), "n_nationkey")
+    table, late = k % 5 % 2 == 0, F.floor(f / 3)
+    table = table & (k % 5 != 4)
+    pitch = lambda places: F.element_at(F.array(*map(F.lit, places)), i + 1)
+    shift = F.col("late") * 0.06
+    rows = rows.withColumn("late", late).withColumn("table", table)
+    x = F.when(F.col("table"), F.lit(0.2)).otherwise(0.12 + 0.2 * pitch(_PITCH_COLUMN) + shift)
+    y = F.when(F.col("table"), 0.1 + 0.07 * i).otherwise(0.1 + 0.2 * pitch(_PITCH_ROW))
+    number = F.when(F.col("late") > 0, 1 + (k * 7 + i * 8 + 50) % 99).otherwise(1 + (k * 13 + i * 8) % 99)
+    seen = F.when((i == 3) & (f == 1) & F.col("table"), number % 99 + 1).otherwise(number)
+    text = F.when((f % 3 == 1) & (F.length("n_name") >= 7), F.concat(F.expr("substring(n_name, 1, length(n_name) - 1)"), F.lit("X"))).otherwise(F.col("n_name"))
+    rows = rows.select("k", "video", "i", "f", "late", "table", x.alias("bx"), y.alias("by"), seen.cast("string").alias("number"), text.alias("name"))
+    base, time = (f * 11 + i) * 2, f * 0.5 + F.col("late") * 60
+    common = [F.col("video"), k.cast("int").alias("segment_index"), (f + 1).cast("long").alias("frame_index"), time.alias("timestamp_seconds"), F.lit(100.0).alias("segment_end_seconds")]
+    numbers = rows.select(*common, base.cast("long").alias("row_id"), F.col("number").alias("text"), F.lit(NUMBER).alias("text_type"), (0.8 + ((k + 3 * i + f) % 17) / 100).alias("score"), F.col("bx").alias("x"), F.col("by").alias("y"))
+    names = rows.select(
+        *common, (base + 1).cast("long").alias("row_id"), F.col("name").alias("text"), F.lit(TEXT_KIND).alias("text_type"), (0.7 + ((2 * k + 5 * i + 3 * f) % 23) / 100).alias("score"),
+        F.when(F.col("table"), F.col("bx") + 0.1).otherwise(F.col("bx")).alias("x"), F.when(F.col("table"), F.col("by")).otherwise(F.col("by") + 0.078).alias("y"),
+    )
+    return numbers.unionByName(names)
+
+
 FRAMES = f"""frames AS (
   SELECT user_id AS video, event_id, event_type, (epoch_us(ts) - epoch_us(TIMESTAMP '{EPOCH}')) / 1e6 AS t,
     least(value, 100::DOUBLE) / 100 AS score, (event_type = 'purchase')::INT AS label,
@@ -162,3 +202,20 @@ RATES = """predicted_segments - detected_segments AS false_positive_segments, tr
   round(coalesce(detected_segments / nullif(truth_segments, 0), 0), 9) AS segment_recall,
   round(coalesce(2 * detected_segments / nullif(predicted_segments + truth_segments, 0), 0), 9) AS segment_f1,
   round(CASE WHEN gap_duration > 0 THEN 1 - gap_false_positive / gap_duration END, 9) AS gap_preservation"""
+
+#: The players that the rule of lineups() leads to, from its formulas and not from its rows.
+LINEUPS = f"""slots AS (
+  SELECT s_suppkey AS k, 'v' || s_nationkey AS video, i, late, k % 5 IN (0, 2) AS tab, (k + 2 * i + late * 5) % 25 AS nation,
+    CASE WHEN late > 0 THEN 1 + (k * 7 + i * 8 + 50) % 99 ELSE 1 + (k * 13 + i * 8) % 99 END AS number,
+    {list(_PITCH_ROW)}[i + 1] AS pitch_row, 0.12 + 0.2 * {list(_PITCH_COLUMN)}[i + 1] + 0.06 * late AS pitch_x
+  FROM (SELECT *, s_suppkey AS k FROM supplier), range(11) r(i), range(2) l(late) WHERE k % 5 NOT IN (2, 3) AND (late = 0 OR k % 5 = 4)),
+names AS (SELECT n_nationkey, upper(translate(substr(md5(n_name), 1, 6 + n_nationkey % 4), '0123456789', 'ghijklmnop')) AS n_name FROM nation),
+players AS (SELECT slots.*, n_name, length(n_name) >= 7 AS misspelt FROM slots JOIN names ON n_nationkey = nation),
+shots AS (
+  SELECT *, 3 * late + g AS f, 0.8 + ((k + 3 * i + 3 * late + g) % 17) / 100 AS ns, 0.7 + ((2 * k + 5 * i + 9 * late + 3 * g) % 23) / 100 AS ts,
+    tab AND i = 3 AND g = 1 AS wrong, misspelt AND g = 1 AS typo FROM players, range(3) t(g)),
+found AS (
+  SELECT k, video, i, late, tab, number, n_name, pitch_row, pitch_x, count(*) FILTER (NOT wrong) AS seen,
+    avg(ns) FILTER (NOT wrong) AS number_score, avg(ts) FILTER (NOT typo AND NOT wrong) AS label_score, avg(sqrt(ns * ts)) FILTER (NOT wrong) AS pair_score,
+    count(*) FILTER (NOT wrong) AS label_frames, avg(ts) AS any_score
+  FROM shots GROUP BY ALL)"""

@@ -29,6 +29,15 @@ def write_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("header", True).csv(path)
 
 
+def as_json(frame: DataFrame, name: str = "json") -> DataFrame:
+    """One JSON object for each row, nulls included."""
+    return frame.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))
+
+
+def write_json(frame: DataFrame, path: str) -> None:
+    frame.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
 def clip_jobs(segments: DataFrame, folder: str = "", fold: bool = True) -> DataFrame:
     """A row for each segment with its number, length and output name."""
     order = Window.partitionBy("video").orderBy("start", "end")
@@ -45,9 +54,32 @@ def missing_sources(jobs: DataFrame, files: DataFrame, key: str = "video") -> Da
     return jobs.select(key).distinct().join(files.select(key), key, "left_anti")
 
 
+def checked_jobs(jobs: DataFrame, files: DataFrame, overwrite: bool = False, most: int = 10) -> DataFrame:
+    """The jobs (source, output), or an error that names what stands against them:
+    sources that ``files`` (path) lacks, outputs of several jobs, outputs that exist."""
+
+    def names(rows: DataFrame, column: str) -> list[str]:
+        return [r[0] for r in rows.select(column).distinct().orderBy(column).limit(most).collect()]
+
+    paths = files.select("path")
+    faults = [("no such source", names(jobs.join(paths, F.col("source") == F.col("path"), "left_anti"), "source")), ("several jobs write", names(repeated_outputs(jobs), "output"))]
+    if not overwrite:
+        faults.append(("already there", names(jobs.join(paths, F.col("output") == F.col("path"), "left_semi"), "output")))
+    if found := [f"{what}: {', '.join(which)}" for what, which in faults if which]:
+        raise ValueError("; ".join(found))
+    return jobs
+
+
+# The arguments of the encoder.
+STREAMS = ("-map", "0:v:0", "-map", "0:a:0?")
+ENCODE = ("-c:v", "libx264", "-preset", "fast", "-crf", "18", "-c:a", "aac", "-b:a", "192k", "-movflags", "+faststart")
+COPY = ("-c", "copy", "-avoid_negative_ts", "make_zero")
+
+
 def clip_command(source: str, start: float, duration: float, output: str, ffmpeg: str = "ffmpeg", copy: bool = False) -> list[str]:
-    codecs = ["-c", "copy"] if copy else ["-c:v", "libx264", "-preset", "medium", "-crf", "18", "-c:a", "aac"]
-    return [ffmpeg, "-hide_banner", "-loglevel", "error", "-y", "-ss", f"{start:.3f}", "-i", source, "-t", f"{duration:.3f}", *codecs, output]
+    """The first picture stream and, if there is one, the first sound stream of a part of a video."""
+    cut = ["-ss", f"{start:.3f}", "-i", source, "-t", f"{duration:.3f}"]
+    return [ffmpeg, "-hide_banner", "-loglevel", "error", "-y", *cut, *STREAMS, *(COPY if copy else ENCODE), output]
 
 
 def export_clips(jobs: DataFrame, run=subprocess.run, **options) -> None:
@@ -65,6 +97,7 @@ def export_clips(jobs: DataFrame, run=subprocess.run, **options) -> None:
             os.close(handle)
             try:
                 run(clip_command(job["source"], job["start"], job["duration"], part, **options), check=True)
+                os.chmod(part, 0o644)
                 os.replace(part, job["output"])
             finally:
                 if os.path.exists(part):

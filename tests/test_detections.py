@@ -1,3 +1,7 @@
+import itertools
+import random
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,13 +52,15 @@ def test_anchors_use_a_name_once():
     assert [(n.row_id, m.row_id) for n, m in rs.anchors(rows)] == [(1, 3)]
 
 
-def table_rows():
-    out, i = [], 0
-    for frame in (1, 2):
-        for k, who in enumerate(("Alpha Ray", "Bravo Kim", "Carol Dunn")):
-            out += [number(i, frame, str(k + 1), 0.1, 0.2 + 0.1 * k), name(i + 1, frame, who, 0.2, 0.2 + 0.1 * k)]
+def table_rows(five=False):
+    """Three players in two frames; or five in three, without and with the last number."""
+    out, last, i = [], [], 0
+    for frame in (1, 2, 3) if five else (1, 2):
+        for k, who in enumerate(("Alpha Ray", "Bravo Kim", "Carol Dunn", "Dora Quist", "Emil Voss")[: 5 if five else 3]):
+            (last if k == 4 else out).append(number(i, frame, str(k + 1), 0.1, 0.2 + 0.1 * k))
+            out.append(name(i + 1, frame, who, 0.2, 0.2 + 0.1 * k))
             i += 2
-    return out
+    return (out, last) if five else out
 
 
 def test_table_lineup():
@@ -63,10 +69,11 @@ def test_table_lineup():
     assert rs.table_lineup(table_rows(), 4) == ([], 3)
 
 
-def formation_rows(start=1, frames=3, first=0):
+def formation_rows(start=1, frames=3, first=0, wide=False):
     out, i = [], first
+    more = (("Quist", 0.2, 0.8), ("Voss", 0.5, 0.8), ("Yarrow", 0.68, 0.8)) if wide else ()
     for frame in range(start, start + frames):
-        for k, (who, x, y) in enumerate((("Ray", 0.3, 0.2), ("Kim", 0.6, 0.2), ("Dunn", 0.45, 0.5))):
+        for k, (who, x, y) in enumerate((("Ray", 0.3, 0.2), ("Kim", 0.6, 0.2), ("Dunn", 0.45, 0.5), *more)):
             out += [number(i, frame, str(k + 4), x, y), name(i + 1, frame, who, x, y + 0.08)]
             i += 2
     return out
@@ -81,14 +88,67 @@ def test_formation_and_cascade():
     assert rs.resolve_segment([], 10.0, options)[1]["status"] == "unresolved"
 
 
-def test_a_retry_completes_a_formation():
-    rows = formation_rows()
-    lost = [r for r in rows if r.text == "6"]
-    more = rs.resolve_segment([r for r in rows if r not in lost], 10.0, rs.Options(players=3, least_numbers=2), lambda r, layout: lost if layout == "formation" else [])
-    assert more[1]["status"] == "unresolved"  # too few anchors for a retry
+class Reader:
+    def __init__(self, table=(), formation=(), error=None):
+        self.rows, self.error = {"table": list(table), "formation": list(formation)}, error
+
+    def __call__(self):
+        return self
+
+    def table(self, rows, players):
+        if self.error:
+            raise self.error
+        return self.rows["table"]
+
+    def formation(self, rows):
+        return self.rows["formation"]
+
+
+def test_a_reader_completes_lineups():
+    with_path = lambda rows: [replace(r, path="frame.png") for r in rows]
+    rows, options = with_path(table_rows()), rs.Options(players=4, least_numbers=3)
+    assert rs.resolve_segment(rows, 10.0, options)[1]["message"] == "table/list pass found 3/4 players; Only 3 player slots found for lineup 1; expected 4."
+    alone = rs.Options(players=4, least_numbers=9)
+    assert rs.resolve_segment(rows, 10.0, alone)[1]["message"] == "table/list pass found 3/4 players; no formation snapshot found"
+    # Four or more players must be there for a table to be read again.
+    five = rs.Options(players=5, least_numbers=3)
+    known, last = table_rows(five=True)
+    found, diagnosis = rs.resolve_segment(with_path(known), 10.0, five, Reader(table=last))
+    assert diagnosis["resolution_method"] == "table+local_ocr" and [r["shirt_number"] for r in found] == [1, 2, 3, 4, 5]
+    assert diagnosis["message"] == "table/list pass found 4/5 players; local table OCR added 3 number observations"
+    assert rs.resolve_segment(known, 10.0, five, Reader(table=last))[1]["status"] == "unresolved"  # no images
+    failed = rs.resolve_segment(with_path(known), 10.0, five, Reader(error=OSError("no model")))[1]
+    assert "local table OCR unavailable: no model" in failed["message"] and failed["status"] == "unresolved"
+    rows = with_path(formation_rows(wide=True))
+    lost = [r for r in rows if r.text == "9"]
+    four = rs.Options(players=6, least_numbers=5)
+    records, diagnosis = rs.resolve_segment([r for r in rows if r not in lost], 10.0, four, Reader(formation=lost))
+    assert diagnosis["resolution_method"] == "formation+local_ocr" and len(records) == 6 and {r["resolution_method"] for r in records} == {"formation+local_ocr"}
+    assert diagnosis["message"] == "local formation OCR added 3 number observations"
     assert rs.retry_frames(formation_rows(), 3) == [1, 2, 3]
 
 
+def test_options_are_checked():
+    for bad in ({"players": 0}, {"least_numbers": 0}, {"same_gap": -1.0}, {"same_signature": 1.5}):
+        with pytest.raises(ValueError):
+            rs.Options(**bad).checked()
+
+
+def test_stacks_equal_all_combinations():
+    r = random.Random(6)
+    for _ in range(200):
+        rows = [name(i, r.randint(1, 2), r.choice(["Ann Lee", "Bob", "x", "Cy-Dee", "Eve"]), r.uniform(0, 0.15), r.uniform(0, 0.3)) for i in range(r.randint(0, 9))]
+        want = []
+        for frame, members in rs.by_frame(rows).items():
+            usable = [m for m in members if rs.name_like(m.norm)]
+            for size in (2, 3):
+                for group in itertools.combinations(usable, size):
+                    stack = sorted(group, key=lambda m: m.y)
+                    if max(m.x for m in stack) - min(m.x for m in stack) <= 0.065 and stack[-1].y - stack[0].y <= 0.14 and all(b.y - a.y <= 0.09 for a, b in zip(stack, stack[1:])):
+                        want.append((frame, tuple(m.row_id for m in stack)))
+        assert [(s.frame, tuple(m.row_id for m in s.rows)) for s in rs.stacks(rows)] == want
+
+
 def test_events_split_by_gap_and_by_signature():
     late = [rs.Row(**{**r.__dict__, "time": r.time + 60, "row_id": r.row_id + 100, "frame": r.frame + 50}) for r in formation_rows()]
     assert [len(e.frames) for e in rs.events(formation_rows() + late, rs.Options(least_numbers=3))] == [3, 3]
@@ -115,3 +175,56 @@ def test_models_behind_interfaces(spark):
     assert sorted(r.texts[0] for r in read.collect()) == ["a", "b"]
     with pytest.raises(ValueError):
         sc.checked_checkpoint({"architecture": "x"}, "x")
+
+
+class Screen:
+    """An image whose numbers are known by the place of a crop."""
+
+    def __init__(self, numbers, hard=()):
+        import numpy as np
+
+        self.numbers, self.hard, self.calls = numbers, hard, []
+        self.pixels = np.zeros((1000, 1000, 1), int)
+        for value, x, y in numbers:
+            self.pixels[int(y * 1000), int(x * 1000)] = value
+
+    def reader(self, **parts):
+        from spanwright.operators.reread import ImageReader
+
+        return ImageReader(lambda path: self.pixels if path == "frame.png" else None, self.read, **parts)
+
+    def found(self, crop, hard):
+        values = sorted(set(crop.reshape(-1).tolist()) - {0})
+        return [(str(v), 0.9) for v in values if (v in self.hard) == hard]
+
+    def read(self, crops):
+        self.calls.append(len(crops))
+        return [self.found(c, False) for c in crops]
+
+
+def test_numbers_are_read_again_in_images():
+    rows = [replace(r, path="frame.png", x1=r.x * 1000, width=1000.0) for r in table_rows(five=True)[0]]
+    options = rs.Options(players=5, least_numbers=5)
+    rows = [replace(r, y=r.y * 0.6) for r in rows]
+    screen = Screen([(k + 1, 0.1, (0.2 + 0.1 * k) * 0.6) for k in range(5)])
+    reader = screen.reader()
+    records, diagnosis = rs.resolve_segment(rows, 10.0, options, lambda: reader)
+    assert diagnosis["resolution_method"] == "table+local_ocr" and [r["shirt_number"] for r in records] == [1, 2, 3, 4, 5] and screen.calls == [5, 5, 5]
+    rows = [replace(r, path="frame.png") for r in formation_rows(wide=True)]
+    lost = [r for r in rows if r.text in ("8", "9")]
+    rows = [replace(r, y=r.y - 0.15) for r in rows if r not in lost]
+    screen = Screen([(8, 0.5, 0.67), (9, 0.68, 0.67)], hard=(9,))
+    one = screen.reader(recognise=lambda crops: [screen.found(c, True) for c in crops])
+    more = one.formation(rows)
+    assert sorted((r.text, r.frame) for r in more) == sorted((t, f) for t in ("8", "9") for f in (1, 2, 3)) and min(r.row_id for r in more) > max(r.row_id for r in rows)
+    assert all(abs(r.y - (0.65 + 0.08 - 0.058)) < 1e-6 for r in more) and screen.calls == [6, 5] * 3
+    assert screen.reader().formation([replace(r, path="other") for r in rows]) == []
+
+
+def test_frames_of_a_table_are_the_earliest_and_the_fullest():
+    from spanwright.operators.reread import table_frames
+
+    pair = lambda f: rs.Pair(1, "a", 0.9, 0.9, f, 0.0, 0.1, 0.1, 0.1)
+    counts = {1: 3, 2: 4, 3: 9, 4: 5, 5: 9}
+    pairs = [pair(f) for f, n in counts.items() for _ in range(n)] + [replace(pair(9), apart=False)] * 20
+    assert [f for f, _ in table_frames(pairs)] == [2, 3, 5] and table_frames([]) == []
