@@ -294,7 +294,7 @@ def duplicate_keys(spark, d):
 @query(f"WITH {v.FRAMES} SELECT event_id, split FROM frames WHERE split = 'val' UNION ALL SELECT event_id, split FROM frames WHERE split = 'test'")
 def union_splits(spark, d):
     f = v.frames(spark, d).select("event_id", "split")
-    return f.filter("split = 'val'").unionByName(f.filter("split = 'test'"))
+    return ev.of_split(f, "val").unionByName(ev.of_split(f, "test"))
 
 
 @query("""(SELECT 'left_only' AS part, o_custkey AS id FROM orders EXCEPT SELECT 'left_only', user_id FROM events)
@@ -646,7 +646,21 @@ def events_by_gap_signature(spark, d):
     return _segments(spark, d).groupBy("video", "segment_index").applyInPandas(step, "video string, segment_index int, event int, start_seconds double, end_seconds double, n int")
 
 
-@query()
+_MIDDLE = "list_aggregate({}, 'median')"
+
+
+@query(f"""WITH RECURSIVE {v.DETECTIONS},
+seg AS (SELECT video, (frame_index // 40)::INT AS segment_index, list({{'x': x, 'y': y}} ORDER BY frame_index, y, x, row_id) AS p FROM detections WHERE {_NUM} GROUP BY ALL),
+walk AS (
+  SELECT video, segment_index, p, 0 AS k, []::STRUCT(xs DOUBLE[], ys DOUBLE[])[] AS c FROM seg
+  UNION ALL
+  SELECT video, segment_index, p, k + 1, CASE WHEN b IS NULL THEN list_append(c, {{'xs': [q.x], 'ys': [q.y]}})
+    ELSE list_transform(c, lambda e, i: CASE WHEN i = b.i THEN {{'xs': list_append(e.xs, q.x), 'ys': list_append(e.ys, q.y)}} ELSE e END) END
+  FROM (SELECT *, list_sort(list_filter(list_transform(c, lambda e, i: {{'cost': abs(q.x - {_MIDDLE.format("e.xs")}) + abs(q.y - {_MIDDLE.format("e.ys")}), 'i': i,
+    'near': abs(q.x - {_MIDDLE.format("e.xs")}) <= 0.045::DOUBLE AND abs(q.y - {_MIDDLE.format("e.ys")}) <= 0.065::DOUBLE}}), lambda z: z.near))[1] AS b
+    FROM (SELECT *, p[k + 1] AS q FROM walk WHERE k < len(p)))),
+each AS (SELECT video, segment_index, unnest(range(1, len(c) + 1)) AS i, c FROM walk WHERE k = len(p))
+SELECT video, segment_index, i::INT AS cluster, round({_MIDDLE.format("c[i].xs")}, 9) AS x, round({_MIDDLE.format("c[i].ys")}, 9) AS y, len(c[i].xs)::INT AS n FROM each""")
 def leader_clusters(spark, d):
     def step(keys, group):
         import pandas as pd
@@ -654,7 +668,8 @@ def leader_clusters(spark, d):
         found = rs.clusters(rs.rows_from(group))
         return pd.DataFrame([(*keys, i + 1, c.x, c.y, len(c.rows)) for i, c in enumerate(found)], columns=["video", "segment_index", "cluster", "x", "y", "n"])
 
-    return _segments(spark, d).groupBy("video", "segment_index").applyInPandas(step, "video string, segment_index int, cluster int, x double, y double, n int")
+    found = _segments(spark, d).groupBy("video", "segment_index").applyInPandas(step, "video string, segment_index int, cluster int, x double, y double, n int")
+    return found.withColumn("x", F.round("x", 9)).withColumn("y", F.round("y", 9))
 
 
 @query()
@@ -668,7 +683,17 @@ def fuzzy_consensus(spark, d):
     return _segments(spark, d).groupBy("video", "segment_index").applyInPandas(step, "video string, segment_index int, text string, confidence double, frames int")
 
 
-@query()
+@query(f"""WITH RECURSIVE {v.DETECTIONS},
+nums AS (SELECT video, frame_index, list({{'id': row_id, 'x': x, 'y': y}} ORDER BY row_id) AS n FROM normed WHERE {_NUM} GROUP BY ALL),
+nams AS (SELECT video, frame_index, list({{'id': row_id, 'x': x, 'y': y}} ORDER BY row_id) AS m FROM normed
+  WHERE text_type = 'text' AND len(norm) BETWEEN 1 AND 40 AND len(regexp_replace(norm, '[^a-z]', '', 'g')) >= 2 GROUP BY ALL),
+walk AS (
+  SELECT video, frame_index, n, m, 0 AS k, []::BIGINT[] AS used, NULL::BIGINT AS number_id, NULL::BIGINT AS name_id FROM nums JOIN nams USING (video, frame_index)
+  UNION ALL
+  SELECT video, frame_index, n, m, k + 1, CASE WHEN b IS NULL THEN used ELSE list_append(used, b.id) END, c.id, b.id
+  FROM (SELECT *, list_sort(list_transform(list_filter(m, lambda r: NOT list_contains(used, r.id) AND abs(r.x - c.x) <= 0.065::DOUBLE AND r.y - c.y BETWEEN 0.025::DOUBLE AND 0.13::DOUBLE),
+    lambda r: {{'cost': abs(r.x - c.x) + abs(r.y - c.y - 0.06::DOUBLE), 'id': r.id}}))[1] AS b FROM (SELECT *, n[k + 1] AS c FROM walk WHERE k < len(n))))
+SELECT video, frame_index, number_id, name_id FROM walk WHERE name_id IS NOT NULL""")
 def greedy_anchors(spark, d):
     rows = _segments(spark, d)
     return rs.per_frame(rows, lambda r: [{"number_id": n.row_id, "name_id": m.row_id} for n, m in rs.anchors(r)], "number_id long, name_id long")

@@ -63,6 +63,12 @@ def chosen(files: DataFrame, names: list[str], name: str = "name") -> DataFrame:
     return files.join(F.broadcast(wanted) if len(names) <= MOST_NAMES else wanted, name)
 
 
+def one_of_each(rows: DataFrame, key: str, order: list[str], last: bool = True) -> DataFrame:
+    """The last (or first) row of each key, as a map that is filled in this order has it."""
+    by = [F.col(c).desc() if last else F.col(c).asc() for c in order]
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*by))).filter("__n = 1").drop("__n")
+
+
 def missing_files(rows: DataFrame, files: DataFrame, column: str = "frame_path", most: int = 10) -> tuple[int, list[str]]:
     """How many different paths of ``rows`` are not in ``files`` (path), and the first of them by name."""
     lost = rows.select(F.col(column).alias("path")).filter("path is not null").distinct().join(files.select("path"), "path", "left_anti")

@@ -61,6 +61,12 @@ def test_paths_and_missing_files(spark):
     assert tables.missing_files(frames, files) == (2, ["/n/1", "/n/2"]) and tables.missing_files(frames, files, most=1) == (2, ["/n/1"])
 
 
+def test_one_row_of_each_key(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 3, "z")], "name string, place int, path string")
+    assert sorted(r.path for r in tables.one_of_each(rows, "name", ["place"]).collect()) == ["y", "z"]
+    assert sorted(r.path for r in tables.one_of_each(rows, "name", ["place"], last=False).collect()) == ["x", "z"]
+
+
 def test_checkpoints(spark, tmp_path):
     good = {"architecture": "linear", "image_size": 8, "threshold": 0.5, "raw_threshold": 0.4, "smoothing_window": 5, "weights": [1.0]}
     (tmp_path / "c.json").write_text(json.dumps(good))
