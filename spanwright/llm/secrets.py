@@ -27,6 +27,9 @@ Only built-in functions are used; the texts are never shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +55,8 @@ KINDS = (*BASE, "ident", "blob", "endpoint")
 SECRETS, IDENTIFIERS, WEAK = ("assign", "hex", "blob"), ("access", "ident"), ("ident", "blob", "endpoint")
 SCOPE = 200
 _BLOCK = 1000
+#: What every match of a kind holds; texts without it aren't searched for the kind.
+HELD = {"assign": (":", "="), "access": ("AKIA",), "ident": (":", "="), "endpoint": (":",)}
 
 
 def _running(lengths: Column) -> Column:
@@ -88,7 +93,9 @@ def spans_of(text: Column, pattern: str, kind: str, keep=None) -> Column:
         lambda m, end: F.struct((end - F.length(m)).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), F.when(keep(m) if keep else F.lit(True), F.lit(kind)).alias("kind")),
     )
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
-    return F.coalesce(F.when(F.size(found) > 0, F.filter(row, lambda s: s["kind"].isNotNull())), none)
+    spans = F.coalesce(F.when(F.size(found) > 0, F.filter(row, lambda s: s["kind"].isNotNull())), none)
+    # One condition within the other, so that nothing is searched before the first one holds.
+    return F.when(reduce(or_, (text.contains(h) for h in HELD[kind])), spans).otherwise(none) if kind in HELD else spans
 
 
 def _written(spans: Column) -> Column:
