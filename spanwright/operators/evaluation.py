@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from spanwright.operators.calibration import ratio
 from spanwright.operators.intervals import aligned, blocks, iou, overlap
@@ -45,14 +44,13 @@ def details(truths: DataFrame, predictions: DataFrame, least_iou: float = 0.5, s
     )
 
 
-def gaps(truths: DataFrame, predictions: DataFrame, key: str = "video") -> DataFrame:
-    """(key, gap_duration, gap_false_positive): time between truths, and predicted there."""
-    order = Window.partitionBy(key).orderBy("start", "end")
-    between = truths.select(key, F.col("end").alias("g"), F.lead("start").over(order).alias("h")).filter("h is not null")
-    # A key's predictions travel as one array, so gaps aren't multiplied.
-    held = predictions.groupBy(key).agg(F.collect_list(F.struct("start", "end")).alias("p"))
-    covered = F.aggregate(F.coalesce("p", F.array().cast("array<struct<start:double,end:double>>")), F.lit(0.0), lambda s, x: s + overlap(F.col("g"), F.col("h"), x["start"], x["end"]))
-    return between.join(held, key, "left").groupBy(key).agg(F.sum(F.greatest(F.lit(0.0), F.col("h") - F.col("g"))).alias("gap_duration"), F.sum(covered).alias("gap_false_positive"))
+def _gaps(truths: Column, predictions: Column) -> tuple[Column, Column]:
+    """Time between consecutive truths, and how much of it is predicted, of a
+    key's sorted truths and its predictions, arrays of struct(start, end)."""
+    between = F.transform(F.slice(truths, 2, F.greatest(F.size(truths) - 1, F.lit(0))), lambda t, i: F.struct(F.get(truths, i)["end"].alias("g"), t["start"].alias("h")))
+    covered = lambda b: F.aggregate(predictions, F.lit(0.0), lambda s, p: s + overlap(b["g"], b["h"], p["start"], p["end"]))
+    total = lambda value: F.aggregate(between, F.lit(0.0), lambda s, b: s + value(b))
+    return total(lambda b: F.greatest(F.lit(0.0), b["h"] - b["g"])), total(covered)
 
 
 def _rates(frame: DataFrame) -> DataFrame:
@@ -72,25 +70,26 @@ def _means() -> dict:
     return {name: F.try_divide(F.col(f"__{name}"), F.col(count[detected])) for name, (_, detected) in _MEANS.items()}
 
 
-def by_series(found: DataFrame, between: DataFrame, key: str = "video", keys: DataFrame | None = None, sums: bool = False) -> DataFrame:
-    """Counts, rates, errors and gap figures of each key; null where undefined.
+def by_series(found: DataFrame, key: str = "video", keys: DataFrame | None = None, split: str = "all", sums: bool = False) -> DataFrame:
+    """Counts, rates, errors and gap figures of each key, of its details(); null where undefined.
 
-    With ``keys`` (key), keys with neither truth nor prediction have a row too.
+    With ``keys`` (key), keys with neither truth nor prediction have a row of ``split`` too.
     ``sums`` keeps the columns that overall() needs.
     """
     truth, seen = F.col("truth_index").isNotNull(), F.col("detected")
     count = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
     total = lambda c, detected: F.coalesce(F.sum(F.when(seen if detected else truth, F.abs(c))), F.lit(0.0))
     counts = ["truth_segments", "predicted_segments", "detected_segments"]
+    part = lambda n: F.sort_array(F.collect_list(F.when(F.col(f"{n}_index").isNotNull(), F.struct(F.col(f"{n}_start").alias("start"), F.col(f"{n}_end").alias("end")))))
     out = found.groupBy("split", key).agg(
         count(truth).alias(counts[0]), count(F.col("prediction_index").isNotNull()).alias(counts[1]), count(seen).alias(counts[2]),
-        *(total(c, detected).alias(f"__{name}") for name, (c, detected) in _MEANS.items()),
+        *(total(c, detected).alias(f"__{name}") for name, (c, detected) in _MEANS.items()), part("truth").alias("__t"), part("prediction").alias("__p"),
     )
+    duration, covered = _gaps(F.col("__t"), F.col("__p"))
+    out = out.withColumn("gap_duration", duration).withColumn("gap_false_positive", covered).drop("__t", "__p")
     if keys is not None:
-        split = found.agg(F.max("split").alias("__split"))
-        out = keys.select(key).distinct().join(out, key, "left").crossJoin(F.broadcast(split)).withColumn("split", F.coalesce("split", "__split")).drop("__split")
-        out = out.fillna(0, counts).fillna(0.0, [f"__{name}" for name in _MEANS])
-    out = out.join(between, key, "left").fillna({"gap_duration": 0.0, "gap_false_positive": 0.0})
+        out = keys.select(key).distinct().join(out, key, "left").withColumn("split", F.coalesce("split", F.lit(split)))
+        out = out.fillna(0, counts).fillna(0.0, ["gap_duration", "gap_false_positive", *(f"__{name}" for name in _MEANS)])
     out = _rates(out.withColumns(_means()))
     whole = F.col("detected_segments") == F.col("truth_segments")
     out = out.withColumn("all_detected", whole).withColumn("exact_detection", whole & (F.col("false_positive_segments") == 0))

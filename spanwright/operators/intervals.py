@@ -104,9 +104,11 @@ def blocks(truths: DataFrame, predictions: DataFrame, key: str = "video") -> Dat
 
 @F.pandas_udf(ArrayType(IntegerType()))
 def _partners(s: pd.Series, e: pd.Series, p: pd.Series, q: pd.Series) -> pd.Series:
-    """For each truth of a block, the place of its prediction, or -1."""
+    """For each truth of a block, the place of its prediction, or -1; null for null."""
 
-    def partners(*sides: np.ndarray) -> list[int]:
+    def partners(*sides: np.ndarray | None) -> list[int] | None:
+        if sides[0] is None:
+            return None
         s, e, p, q = (x.tolist() for x in sides)
         found = best_matching(list(zip(s, e)), list(zip(p, q)))
         return [found.get(i, -1) for i in range(len(s))]
@@ -125,13 +127,14 @@ def aligned(truths: DataFrame, predictions: DataFrame, key: str = "video") -> Da
     item = lambda i: F.sort_array(F.collect_list(F.when(F.col("side") == i, F.struct("number", "start", "end"))))
     found = blocks(truths, predictions, key).groupBy(key, "block").agg(item(0).alias("t"), item(1).alias("p"))
     simple = (F.size("t") == 0) | (F.size("p") == 0) | (F.size("t") + F.size("p") == 2)
-    alone = found.filter(simple).withColumn("m", F.transform("t", lambda x, i: F.when(F.size("p") > i, i).otherwise(-1)))
-    rest = found.filter(~simple).withColumn("m", _partners("t.start", "t.end", "p.start", "p.end"))
+    alone = F.transform("t", lambda x, i: F.when(F.size("p") > i, i).otherwise(-1))
+    chosen = _partners(*(F.when(~simple, F.col(c)) for c in ("t.start", "t.end", "p.start", "p.end")))
+    found = found.withColumn("m", F.when(simple, alone).otherwise(chosen))
     pair = lambda x, y: F.struct(x.alias("t"), y.alias("p"))
     none = F.lit(None).cast("struct<number:int,start:double,end:double>")
     of_truths = F.transform("t", lambda x, i: pair(x, F.when(F.get("m", i) >= 0, F.get("p", F.get("m", i)))))
     others = F.filter(F.transform("p", lambda y, j: F.when(~F.array_contains("m", j), pair(none, y))), lambda r: r.isNotNull())
-    rows = alone.unionByName(rest).select(key, F.explode(F.concat(of_truths, others)).alias("r"))
+    rows = found.select(key, F.explode(F.concat(of_truths, others)).alias("r"))
     parts = [(f"{n}_{c}", f"r.{s}.{o}") for s, n in (("t", "truth"), ("p", "prediction")) for c, o in (("index", "number"), ("start", "start"), ("end", "end"))]
     return rows.select(key, *(F.col(path).alias(name) for name, path in parts))
 

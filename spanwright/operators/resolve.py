@@ -10,18 +10,19 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import cached_property, lru_cache
 from statistics import fmean, median
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from spanwright.functions.text import NO_NAMES, NO_TABLE_NAMES, NUMBER, alike, plain
 
 
-@dataclass(frozen=True)
+@dataclass
 class Row:
-    """A detection."""
+    """A detection; not changed once it is made."""
 
     row_id: int
     frame: int
@@ -40,7 +41,7 @@ class Row:
     def left(self) -> float:
         return self.x1 / self.width if self.x1 is not None and self.width and self.width > 0 else self.x
 
-    @property
+    @cached_property
     def number(self) -> int | None:
         if self.kind != NUMBER or not self.text.strip().isascii() or not self.text.strip().isdigit():
             return None
@@ -66,10 +67,12 @@ class Unresolved(ValueError):
     """A segment's detections that give no whole lineup."""
 
 
+@lru_cache(1 << 16)
 def name_like(norm: str, excluded: tuple = NO_NAMES) -> bool:
     return bool(norm) and norm not in excluded and len(norm) <= 40 and sum(c.isalpha() for c in norm) >= 2
 
 
+@lru_cache(1 << 16)
 def inline(text: str) -> tuple[int, str] | None:
     head, _, tail = text.strip().partition(" ")
     name = tail.strip()
@@ -543,16 +546,41 @@ RECORD = (
 DIAGNOSIS = "status string, resolution_method string, resolved_players int, message string"
 
 
-def rows_from(group: pd.DataFrame) -> list[Row]:
-    group = group.sort_values("row_id")
-    has, image = {"x1", "frame_width"} <= set(group.columns), "frame_path" in group.columns
+def rows_from(table: pa.Table) -> list[Row]:
+    """The detections of a segment, by row_id."""
+    names = ["row_id", "frame_index", "timestamp_seconds", "text", "text_type", "score", "x", "y"]
+    extra = [c if {"x1", "frame_width"} <= set(table.column_names) else None for c in ("x1", "frame_width")]
+    extra.append("frame_path" if "frame_path" in table.column_names else None)
+    table = table.sort_by("row_id")
+    columns = [table[c].to_pylist() if c else [None] * len(table) for c in (*names, *extra)]
+    number = lambda v: None if v is None else float(v)
     return [
-        Row(
-            int(r.row_id), int(r.frame_index), float(r.timestamp_seconds), str(r.text), str(r.text_type), float(r.score), float(r.x), float(r.y),
-            float(r.x1) if has else None, float(r.frame_width) if has else None, plain(r.text), r.frame_path if image else None,
-        )
-        for r in group.itertuples()
-    ]
+        Row(i, frame, float(time), str(text), kind, float(score), float(x), float(y), number(x1), number(width), plain(text), path)
+        for i, frame, time, text, kind, score, x, y, x1, width, path in zip(*columns)
+    ]
+
+
+def per_segment(detections: DataFrame, step: Callable[[list[Row], float], list[dict]], schema: str) -> DataFrame:
+    """(video, segment_index, ...): what a step makes of each segment's detections
+    and its end (0 without one); a dict for each row."""
+    kinds = {f.name: f.dataType for f in detections.schema}
+    whole = f"video {kinds['video'].simpleString()}, segment_index {kinds['segment_index'].simpleString()}, {schema}"
+    names = [c.split()[0] for c in whole.split(", ")]
+
+    def apply(keys: tuple, table: pa.Table) -> pa.Table:
+        ends = table["segment_end_seconds"].to_pylist() if "segment_end_seconds" in table.column_names else [0.0]
+        video, segment = (k.as_py() for k in keys)
+        found = step(rows_from(table), max(ends))
+        columns = {"video": [video] * len(found), "segment_index": [segment] * len(found)} | {n: [f[n] for f in found] for n in names[2:]}
+        return pa.table(list(columns.values()), schema=_arrow(whole))
+
+    return detections.groupBy("video", "segment_index").applyInArrow(apply, whole)
+
+
+@lru_cache(64)
+def _arrow(ddl: str) -> pa.Schema:
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "long": pa.int64(), "double": pa.float64()}
+    return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in ddl.split(", ")])
 
 
 def resolved(detections: DataFrame, options: Options | None = None, make_reader: MakeReader | None = None, diagnose: bool = False, layout: str = "all") -> DataFrame:
@@ -565,31 +593,21 @@ def resolved(detections: DataFrame, options: Options | None = None, make_reader:
     """
     options = (options or Options()).checked()
 
-    def resolve(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        rows, end = rows_from(group), float(group["segment_end_seconds"].max())
+    def resolve(rows: list[Row], end: float) -> list[dict]:
         if layout == "table":
-            records, diagnosis = table_lineup(rows, options.players)[0], {}
-        elif layout == "formation":
-            records, diagnosis = formation_lineups(rows, end, options)[1], {}
-        else:
-            records, diagnosis = resolve_segment(rows, end, options, make_reader)
-        out = pd.DataFrame([diagnosis] if diagnose else records, columns=[c.split()[0] for c in (DIAGNOSIS if diagnose else RECORD).split(", ")])
-        out.insert(0, "video", keys[0])
-        out.insert(1, "segment_index", keys[1])
-        return out
+            return table_lineup(rows, options.players)[0]
+        if layout == "formation":
+            return formation_lineups(rows, end, options)[1]
+        records, diagnosis = resolve_segment(rows, end, options, make_reader)
+        return [diagnosis] if diagnose else records
 
-    schema = "video string, segment_index int, " + (DIAGNOSIS if diagnose else RECORD)
-    return detections.groupBy("video", "segment_index").applyInPandas(resolve, schema)
+    return per_segment(detections, resolve, DIAGNOSIS if diagnose else RECORD)
 
 
 def per_frame(detections: DataFrame, step: Callable[[list[Row]], list[dict]], schema: str) -> DataFrame:
     """A step applied to the detections of each frame; a segment's frames share a call."""
-    names = [c.split()[0] for c in schema.split(", ")]
 
-    def apply(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        found = [{"frame_index": frame} | out for frame, members in by_frame(rows_from(group)).items() for out in step(members)]
-        out = pd.DataFrame(found, columns=["frame_index", *names])
-        out.insert(0, "video", keys[0])
-        return out
+    def apply(rows: list[Row], end: float) -> list[dict]:
+        return [{"frame_index": frame} | out for frame, members in by_frame(rows).items() for out in step(members)]
 
-    return detections.groupBy("video", "segment_index").applyInPandas(apply, "video string, frame_index long, " + schema)
+    return per_segment(detections, apply, "frame_index long, " + schema).drop("segment_index")

@@ -180,7 +180,7 @@ def _rounded(frame: DataFrame) -> DataFrame:
 def _by_series(spark, d, **options) -> DataFrame:
     """Figures of every series, with or without truths and predictions."""
     truths, predictions = v.truths(spark, d), v.predictions(spark, d)
-    return ev.by_series(ev.details(truths, predictions), ev.gaps(truths, predictions), keys=v.frames(spark, d), **options)
+    return ev.by_series(ev.details(truths, predictions), keys=v.frames(spark, d), **options)
 
 
 _MEANS_SQL = ", ".join(f"round({c}, 6) AS {c}" for c in _MEANS)
@@ -463,10 +463,10 @@ _CELLS = f"""{v.DETECTIONS}, cells AS (SELECT *, video || '-' || floor(x * 10)::
 votes AS (SELECT cluster, text, count(DISTINCT frame_index) AS frames, sum(score) AS total, avg(score) AS confidence, min(row_id) AS first FROM cells GROUP BY cluster, text)"""
 
 
-@query(f"""WITH {_CELLS} SELECT cluster, text, frames, round(total, 6) AS total, round(confidence, 6) AS confidence
+@query(f"""WITH {_CELLS} SELECT cluster, text, frames, round(total, 6) AS total, round(confidence, 9) AS confidence
 FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY frames DESC, round(total, 9) DESC, first) AS k FROM votes) WHERE k = 1""")
 def number_vote(spark, d):
-    return det.number_votes(_cells(spark, d)).select("cluster", "text", "frames", F.round("total", 6).alias("total"), F.round("confidence", 6).alias("confidence"))
+    return det.number_votes(_cells(spark, d)).select("cluster", "text", "frames", F.round("total", 6).alias("total"), F.round("confidence", 9).alias("confidence"))
 
 
 @query(f"""WITH {v.DETECTIONS}, j AS (SELECT *, coalesce(y - lag(y) OVER o > 0.09, true) AS fresh FROM detections WHERE {_NUM} WINDOW o AS (PARTITION BY video, frame_index ORDER BY y, x, row_id))
@@ -637,13 +637,11 @@ def lineup_diagnostics(spark, d):
 
 @query()
 def events_by_gap_signature(spark, d):
-    def step(keys, group):
-        import pandas as pd
+    def step(rows, end):
+        found = rs.events(rows, _OPTIONS)
+        return [{"event": i, "start_seconds": min(e.times), "end_seconds": max(e.times), "n": len(e.frames)} for i, e in enumerate(found, start=1)]
 
-        found = rs.events(rs.rows_from(group), _OPTIONS)
-        return pd.DataFrame([(*keys, i + 1, min(e.times), max(e.times), len(e.frames)) for i, e in enumerate(found)], columns=["video", "segment_index", "event", "start_seconds", "end_seconds", "n"])
-
-    return _segments(spark, d).groupBy("video", "segment_index").applyInPandas(step, "video string, segment_index int, event int, start_seconds double, end_seconds double, n int")
+    return rs.per_segment(_segments(spark, d), step, "event int, start_seconds double, end_seconds double, n int")
 
 
 _MIDDLE = "list_aggregate({}, 'median')"
@@ -662,25 +660,20 @@ walk AS (
 each AS (SELECT video, segment_index, unnest(range(1, len(c) + 1)) AS i, c FROM walk WHERE k = len(p))
 SELECT video, segment_index, i::INT AS cluster, round({_MIDDLE.format("c[i].xs")}, 9) AS x, round({_MIDDLE.format("c[i].ys")}, 9) AS y, len(c[i].xs)::INT AS n FROM each""")
 def leader_clusters(spark, d):
-    def step(keys, group):
-        import pandas as pd
-
-        found = rs.clusters(rs.rows_from(group))
-        return pd.DataFrame([(*keys, i + 1, c.x, c.y, len(c.rows)) for i, c in enumerate(found)], columns=["video", "segment_index", "cluster", "x", "y", "n"])
+    def step(rows, end):
+        return [{"cluster": i, "x": c.x, "y": c.y, "n": len(c.rows)} for i, c in enumerate(rs.clusters(rows), start=1)]
 
-    found = _segments(spark, d).groupBy("video", "segment_index").applyInPandas(step, "video string, segment_index int, cluster int, x double, y double, n int")
+    found = rs.per_segment(_segments(spark, d), step, "cluster int, x double, y double, n int")
     return found.withColumn("x", F.round("x", 9)).withColumn("y", F.round("y", 9))
 
 
 @query()
 def fuzzy_consensus(spark, d):
-    def step(keys, group):
-        import pandas as pd
-
-        rows = [r for r in rs.rows_from(group) if r.kind != tx.NUMBER]
-        return pd.DataFrame([(*keys, *rs.consensus([(r.text, r.score, r.frame) for r in rows]))], columns=["video", "segment_index", "text", "confidence", "frames"])
+    def step(rows, end):
+        votes = [(r.text, r.score, r.frame) for r in rows if r.kind != tx.NUMBER]
+        return [dict(zip(("text", "confidence", "frames"), rs.consensus(votes)))]
 
-    return _segments(spark, d).groupBy("video", "segment_index").applyInPandas(step, "video string, segment_index int, text string, confidence double, frames int")
+    return rs.per_segment(_segments(spark, d), step, "text string, confidence double, frames int")
 
 
 @query(f"""WITH RECURSIVE {v.DETECTIONS},

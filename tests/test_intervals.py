@@ -55,7 +55,7 @@ def test_details_and_metrics(spark):
     found = ev.details(truths, predictions)
     status = sorted((r.video, r.truth_index or 0, r.prediction_index or 0, r.status) for r in found.collect())
     assert status == [("a", 0, 2, "extra_prediction"), ("a", 1, 1, "detected"), ("a", 2, 3, "below_iou_threshold"), ("b", 1, 0, "missed"), ("c", 0, 1, "extra_prediction")]
-    series = {r.video: r for r in ev.by_series(found, ev.gaps(truths, predictions)).collect()}
+    series = {r.video: r for r in ev.by_series(found).collect()}
     a = series["a"]
     assert (a.detected_segments, a.false_positive_segments, a.missed_segments) == (1, 2, 1)
     assert a.gap_duration == 10.0 and a.gap_false_positive == 2.0 and a.gap_preservation == pytest.approx(0.8)

@@ -110,7 +110,7 @@ def test_series_without_truth_or_prediction_have_a_row(spark):
     kind = "video string, start double, end double"
     truths, predictions = spark.createDataFrame([("a", 0.0, 10.0)], kind), spark.createDataFrame([("a", 1.0, 10.0), ("b", 0.0, 5.0)], kind)
     keys = spark.createDataFrame([("a",), ("b",), ("c",), ("c",)], "video string")
-    series = ev.by_series(ev.details(truths, predictions), ev.gaps(truths, predictions), keys=keys, sums=True)
+    series = ev.by_series(ev.details(truths, predictions), keys=keys, sums=True)
     got = {x.video: (x.truth_segments, x.predicted_segments, x.detected_segments, x.mean_iou_all, x.exact_detection) for x in series.collect()}
     assert got == {"a": (1, 1, 1, 0.9, True), "b": (0, 1, 0, None, False), "c": (0, 0, 0, None, True)}
     total = ev.overall(series).first()
