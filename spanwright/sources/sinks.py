@@ -29,6 +29,15 @@ def write_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("header", True).csv(path)
 
 
+def printed(frame: DataFrame, title: str = "", most: int = 100) -> str:
+    """The first rows of a small frame as lines of ``name=value``, printed and returned."""
+    rows = frame.limit(most + 1).collect()
+    lines = [title] * bool(title) + ["  ".join(f"{k}={v}" for k, v in row.asDict().items()) for row in rows[:most]] + ["..."] * (len(rows) > most)
+    text = "\n".join(lines)
+    print(text)
+    return text
+
+
 def as_json(frame: DataFrame, name: str = "json") -> DataFrame:
     """One JSON object for each row, nulls included."""
     return frame.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))

@@ -47,6 +47,7 @@ def test_clip_commands_and_json(spark, tmp_path):
     assert command[-1] == "b.mp4" and command[command.index("-preset") + 1] == "fast" and command.count("-map") == 2 and "+faststart" in command
     assert sinks.clip_command("a", 0, 1, "b", copy=True)[-5:-1] == ["-c", "copy", "-avoid_negative_ts", "make_zero"]
     rows = spark.createDataFrame([(1, "é"), (2, None)], "a int, b string")
+    assert sinks.printed(rows.orderBy("a"), "rows", most=1) == "rows\na=1  b=é\n..."
     assert sorted(r.json for r in sinks.as_json(rows).collect()) == ['{"a":1,"b":"é"}', '{"a":2,"b":null}']
     sinks.write_json(rows, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
