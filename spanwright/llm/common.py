@@ -114,6 +114,6 @@ def checked_broadcast(frame: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame
     return frame
 
 
-def rows_of(big: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def rows_of(big: DataFrame, ids: DataFrame, key: str, small=checked_broadcast) -> DataFrame:
     """Rows of ``big`` whose key is in ``ids`` (distinct keys, cheap to count)."""
-    return big.join(checked_broadcast(ids.select(key)), key, "left_semi")
+    return big.join(small(ids.select(key)), key, "left_semi")

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanwright.llm.common import Tables, bounded_batches, checked_broadcast, cut, rows_of, tasks_for
+from spanwright.llm.common import BROADCAST_ROWS, Tables, bounded_batches, checked_broadcast, cut, rows_of, tasks_for
 from spanwright.llm.components import connected_components
 from spanwright.llm.shingles import WordHashes, shingle_set
 
@@ -216,7 +216,10 @@ def near_duplicates(
 def _found(texts: DataFrame, tables: Tables, k: int, percent: int, shared: int, text_hash: bool) -> DataFrame:
     schema = "doc_id long, text_hash long, n_shingles long, high long, low long, sketch array<long>"
     base = tables.keep(texts.mapInArrow(lambda batches: _sketches(batches, k), schema))
-    n = tasks_for(base.count())
+    rows = base.count()
+    n = tasks_for(rows)
+    # What follows and is broadcast has a row for each document at most.
+    small = F.broadcast if rows <= BROADCAST_ROWS else checked_broadcast
     rows_of_key = base.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("text_hash").alias("p"), F.max("text_hash").alias("q"))
     repeated, several = rows_of_key.coalesce(n).agg(F.coalesce(F.max(F.col("n") > 1), F.lit(False)), F.coalesce(F.max(F.col("p") != F.col("q")), F.lit(False))).first()
     # Texts that share a key get keys of their own: hashes, so that another key
@@ -224,13 +227,13 @@ def _found(texts: DataFrame, tables: Tables, k: int, percent: int, shared: int,
     if several:
         marked = tables.keep(rows_of_key.filter("p <> q").select("doc_id", F.lit(True).alias("several")))
         of_text = F.when(F.col("several"), F.xxhash64("doc_id", "text_hash")).otherwise(F.col("doc_id"))
-        base, texts = (f.join(checked_broadcast(marked), "doc_id", "left").withColumn("id", of_text).drop("several") for f in (base, texts))
+        base, texts = (f.join(small(marked), "doc_id", "left").withColumn("id", of_text).drop("several") for f in (base, texts))
     else:
         base, texts = (f.withColumn("id", F.col("doc_id")) for f in (base, texts))
     texts = texts.select("id", "text")
     some = base.filter("n_shingles > 0 and doc_id is not null")
     classes = tables.keep(some.groupBy("high", "low").agg(F.min("id").alias("class_id"), (F.count("*") > 1).alias("copied")).coalesce(n))
-    heads = rows_of(some, classes.select(F.col("class_id").alias("id")), "id")
+    heads = rows_of(some, classes.select(F.col("class_id").alias("id")), "id", small)
     heads = (heads.dropDuplicates(["id"]) if repeated else heads).select(F.col("id").alias("class_id"), F.col("n_shingles").alias("n"), "sketch")
 
     values = heads.select("class_id", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
@@ -249,26 +252,26 @@ def _found(texts: DataFrame, tables: Tables, k: int, percent: int, shared: int,
     tables.drop(postings)
     star = tables.keep(placed.select(F.col("head").alias("a"), F.col("class_id").alias("b")).distinct().coalesce(n))
     needed = tables.keep(star.select(F.col("a").alias("id")).union(star.select("b")).distinct().coalesce(n))
-    deep = rows_of(texts, needed, "id").mapInArrow(lambda batches: _sets(batches, DEEP), "class_id long, n long, shingles array<long>")
+    deep = rows_of(texts, needed, "id", small).mapInArrow(lambda batches: _sets(batches, DEEP), "class_id long, n long, shingles array<long>")
     deep = tables.keep(deep.dropDuplicates(["class_id"]) if repeated else deep)
     links = _links(star, deep, texts, tables, percent)
     first = connected_components(links.select("a", "b"), tables)
     tables.drop(star, needed, links)
 
     # What remains: members of one list, but its head, in different components.
-    roots = checked_broadcast(first.withColumnRenamed("node", "class_id"))
+    roots = small(first.withColumnRenamed("node", "class_id"))
     placed = placed.select("value", "class_id").join(roots, "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
     mixed = placed.groupBy("value").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("value")
     members = tables.keep(placed.join(mixed, "value", "left_semi").select("class_id", "root").distinct().coalesce(n))
-    pairs = tables.keep(_remaining(deep.join(checked_broadcast(members), "class_id"), tables, percent))
+    pairs = tables.keep(_remaining(deep.join(small(members), "class_id"), tables, percent))
     links = _links(pairs, deep, texts, tables, percent)
     roots = connected_components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links.select("a", "b")), tables)
 
     classed = base.select("doc_id", "id", "text_hash", "n_shingles", "high", "low")
     copies = classes.filter("copied").select("high", "low", "class_id")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    classed = classed.join(checked_broadcast(copies), ["high", "low"], "left").withColumn("class_id", F.when(linked, F.coalesce("class_id", "id")))
-    found = classed.join(checked_broadcast(roots.withColumnRenamed("node", "class_id")), "class_id", "left").withColumn("component", F.coalesce("root", "class_id"))
+    classed = classed.join(small(copies), ["high", "low"], "left").withColumn("class_id", F.when(linked, F.coalesce("class_id", "id")))
+    found = classed.join(small(roots.withColumnRenamed("node", "class_id")), "class_id", "left").withColumn("component", F.coalesce("root", "class_id"))
     head, head_id = F.coalesce("component", "doc_id"), F.coalesce("component", "id")
     if several:
         # A root may be a text's own key; the smallest key comes with its text.

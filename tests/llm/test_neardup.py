@@ -89,3 +89,27 @@ def test_texts_that_share_a_key_are_told_apart(spark):
     for i, text, component, kept in [(5, 0, 5, True), (7, 1, 7, True), (7, 2, 5, False), (7, 3, 7, True), (9, 4, 7, False), (9, 5, 7, False), (6, 9, 6, True), (4, 11, 4, True), (4, 12, 4, True)]:
         assert of[i, rows[text][1]] == (component, kept)
     assert sorted(v for k, v in of.items() if k[0] == 8) == [(8, False), (8, True)]
+
+
+def test_long_texts_are_verified_on_full_sets(spark):
+    r = random.Random(8)
+    rows = []
+    for _ in range(2):
+        base = [f"w{r.randrange(5000)}" for _ in range(2600)]
+        copies = [edited(base, r, r.choice((0, 3, 30, 45, 60, 75, 90))).split() for _ in range(14)]
+        # Copies of copies, and parts that are too short to be near.
+        rows += [" ".join(c) for c in copies] + [edited(c, r, 40) for c in copies[:6]] + [" ".join(base[: r.choice((900, 1100, 1500, 2000, 2300))]) for _ in range(6)]
+    r.shuffle(rows)
+    check(spark, list(enumerate(rows)))
+
+
+def test_long_lists_are_dealt_in_blocks(spark, monkeypatch):
+    from spanwright.llm import neardup
+
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(90)]
+    # Far from the first copy, near to each other: found only by the second lists.
+    rows = [" ".join(base)] + [edited(edited(base, r, 5).split(), r, 1) for _ in range(60)]
+    rows += [edited(rows[r.randrange(1, 60)].split(), r, 2) for _ in range(40)]
+    check(spark, list(enumerate(rows)))
