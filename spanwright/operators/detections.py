@@ -122,6 +122,19 @@ def best_of_each(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("__n", F.row_number().over(best)).filter("__n = 1").drop("__n")
 
 
+def cluster_figures(rows: DataFrame, cluster: str = "cluster", by: tuple = ("video",)) -> DataFrame:
+    """label_frames, frames, total and the median place of each cluster of detections.
+
+    Frames are counted in two steps, so no row is multiplied for the distinct counts.
+    """
+    number = is_shirt_number(F.col("text_type"), F.col("text"))
+    has = lambda c: F.max(F.when(c, 1).otherwise(0))
+    frames = rows.groupBy(*by, cluster, "frame_index").agg(has(~number).alias("label"), has(number).alias("number"), F.sum(F.when(number, F.col("score"))).alias("total"))
+    counts = frames.groupBy(*by, cluster).agg(F.sum("label").alias("label_frames"), F.sum("number").alias("frames"), F.coalesce(F.sum("total"), F.lit(0.0)).alias("total"))
+    places = rows.groupBy(*by, cluster).agg(F.median("x").alias("x"), F.median("y").alias("y"))
+    return counts.join(places, [*by, cluster])
+
+
 def top_clusters(clusters: DataFrame, k: int = 11, by: tuple = ("video",)) -> DataFrame:
     """The k clusters with a label, the most label frames, frames and score; in reading order."""
     rank = Window.partitionBy(*by).orderBy(F.desc(F.col("label_frames") > 0), F.desc("label_frames"), F.desc("frames"), F.desc(F.round("total", 9)), "cluster")

@@ -489,11 +489,7 @@ SELECT video, cluster, row_number() OVER (PARTITION BY video ORDER BY y, x, clus
 def topk_clusters(spark, d):
     rows = v.detections(spark, d)
     cell = F.concat_ws("-", "video", F.floor(F.col("x") * 10).cast("string"), F.floor(F.col("y") * 10).cast("string"))
-    number = tx.is_shirt_number(F.col("text_type"), F.col("text"))
-    cells = rows.groupBy("video", cell.alias("cluster")).agg(
-        F.countDistinct(F.when(~number, F.col("frame_index"))).alias("label_frames"), F.countDistinct(F.when(number, F.col("frame_index"))).alias("frames"),
-        F.coalesce(F.sum(F.when(number, F.col("score"))), F.lit(0.0)).alias("total"), F.median("x").alias("x"), F.median("y").alias("y"),
-    )
+    cells = det.cluster_figures(rows.withColumn("cluster", cell))
     return det.top_clusters(cells).select("video", "cluster", "slot")
 
 
