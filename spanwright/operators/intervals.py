@@ -32,13 +32,15 @@ def labelled(points: DataFrame, ranges: DataFrame, key: str = "video", time: str
     reached = ranges.filter("end > start").select(key, "start", F.max("end").over(order).alias("reach"))
     held = reached.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("start", "reach"))).alias("__ranges"))
     n, t = F.size("__ranges"), F.col(time)
+    # The powers of two up to the number of ranges, largest first.
+    held = held.withColumn("__steps", F.transform(F.sequence(F.floor(F.log2(n.cast("double"))).cast("int"), F.lit(0), F.lit(-1)), lambda i: F.pow(F.lit(2), i).cast("int")))
     begun = F.aggregate(
-        F.lit([1 << i for i in reversed(range(31))]),
+        "__steps",
         F.lit(0),
         lambda at, step: F.when((step <= n - at) & F.coalesce(F.get("__ranges", at + step - 1)["start"] <= t, F.lit(False)), at + step).otherwise(at),
     )
     inside = F.get("__ranges", begun - 1)["reach"] > t
-    return points.join(held, key, "left").withColumn(name, F.coalesce(inside, F.lit(False)).cast("int")).drop("__ranges")
+    return points.join(held, key, "left").withColumn(name, F.coalesce(inside, F.lit(False)).cast("int")).drop("__ranges", "__steps")
 
 
 def time_grid(windows: DataFrame, per_second: float, start: str = "start", end: str = "end") -> DataFrame:
