@@ -31,8 +31,9 @@ the others.  Ten or eleven bare digits, only if that plan can assign them.  A
 plus sign, an assigned country code and 8 to 15 digits in all: the code and
 leading zeros stay, the other digits are permuted.
 
-Addresses with leading zeros keep the width of their parts.  Four numbers after
-a word for a version, or part of a longer row of numbers, are no address.
+Addresses with leading zeros keep the width of their parts.  Four numbers of one
+or two digits after a word for a version are no address, nor is any part of a
+longer row of numbers.
 
 Left out, and so left in clear: IPv6 addresses, two-digit years, months in
 words, cards in other groups than 4-4-4-1..7 and 4-6-4 or 5, phones of other
@@ -75,7 +76,8 @@ COUNTRIES = (
 #: Ten digits that the North American plan can assign: no area or exchange starts with 0 or 1, or is N11.
 ASSIGNABLE = r"^[2-9](?!11)\d{2}[2-9](?!11)\d{6}$"
 _START, _END = r"(?<![\p{L}\d])", r"(?![\p{L}\d])"
-_VERSION = r"(?<!\b(?i:version|release|firmware|section|build|ver|rev|v)[ .:=#]{1,2})"
+#: Not after a word for a version, unless some number has three digits.
+_VERSION = r"(?:(?<!\b(?i:version|release|firmware|build|v)[ .:=#]{1,2})|(?=(?:\d{1,2}\.){0,3}\d{3}))"
 #: Leftmost match, first alternative; never within a longer number or word.
 #: A plus sign may precede a phone number only as its own.
 PATTERN = (

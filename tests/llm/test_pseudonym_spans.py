@@ -102,7 +102,7 @@ def test_replaced_spans_equal_a_scan(spark):
 
 @pytest.mark.parametrize(("text", "n"), [
     ("2024-02-29T10:00:00Z", 1), ("+442079460958", 1), ("+44 20 7946 0958", 1), ("call 6405550953", 1), ("id 1234567890", 0), ("010.001.000.001", 1), ("version 1.2.3.4", 0), ("v 1.2.3.4", 0),
-    ("server 1.2.3.4", 1), ("1.2.3.4.5", 0), ("+999123456", 0), ("a@b..com", 0), ("a@b.com.", 1),
+    ("server 1.2.3.4", 1), ("zu ver 42.24.84.20", 1), ("build 1.22.33.244", 1), ("Version: 10.20.30.40", 0), ("1.2.3.4.5", 0), ("+999123456", 0), ("a@b..com", 0), ("a@b.com.", 1),
 ])
 def test_forms(spark, text, n):
     row = ps.pseudonymised(spark.createDataFrame([(1, text)], KIND), "key", counts=True).first()
