@@ -358,8 +358,9 @@ def timestamp_format(spark, d):
 @query("""SELECT event_id, 'frame_' || lpad(event_id::VARCHAR, 6, '0') || '.jpg' AS name,
   'frame_' || lpad(event_id::VARCHAR, 6, '0') || '_t' || lpad((event_id * 31)::VARCHAR, 10, '0') || '.jpg' AS timed FROM events""")
 def frame_names(spark, d):
+    # The SQL's lpad cuts numbers that are too long; fixed does the same.
     e = F.col("event_id")
-    return read(spark, d, "events").select("event_id", tt.frame_name(e).alias("name"), tt.frame_name(e, e * 31).alias("timed"))
+    return read(spark, d, "events").select("event_id", tt.frame_name(e, fixed=True).alias("name"), tt.frame_name(e, e * 31, fixed=True).alias("timed"))
 
 
 @query("""SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g'), ''), 'video') AS stem,

@@ -45,3 +45,14 @@ def test_queries_equal_their_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
 def test_queries_without_sql_run(spark, name):
     assert registry.QUERIES[name](spark, DATA).count() >= 0
+
+
+def test_frame_names_of_long_numbers_equal_their_sql(spark, tmp_path):
+    import duckdb
+
+    ids = [0, 999_999, 1_000_000, 5_999_999, 322_580_646, -5, None]
+    spark.createDataFrame([(i,) for i in ids], "event_id long").write.parquet(f"{tmp_path}/events.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    got = registry.QUERIES["frame_names"](spark, str(tmp_path))
+    assert _sorted(map(tuple, got.collect())) == _sorted(connection.sql(registry.ORACLE_SQL["frame_names"]).fetchall())

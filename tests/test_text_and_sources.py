@@ -26,6 +26,14 @@ def test_ranges_and_clocks(spark):
     assert [tuple(r) for r in clocks] == [("00:01:01.5", "00-01-01-500"), ("01:00:00", "01-00-00"), ("00:01:00", "00-01-00")]
 
 
+def test_frame_names(spark):
+    rows = spark.createDataFrame([(7, 20), (1_000_000, 10_000_000_000)], "i long, ms long")
+    i, ms = F.col("i"), F.col("ms")
+    got = rows.orderBy("i").select(tt.frame_name(i), tt.frame_name(i, ms), tt.frame_name(i, fixed=True), tt.frame_name(i, ms, fixed=True)).collect()
+    assert tuple(got[0]) == ("frame_000007.jpg", "frame_000007_t0000000020.jpg") * 2
+    assert tuple(got[1]) == ("frame_1000000.jpg", "frame_1000000_t10000000000.jpg", "frame_100000.jpg", "frame_100000_t1000000000.jpg")
+
+
 def test_normalisation(spark):
     assert values(spark, ["Đội", "Ødegaard", "Straße", "Ｇ", "J. O'Neil-2", None], tx.normalized) == ["oi", "degaard", "strasse", "g", "j o neil 2", None]
     assert tx.alike("tide", "diet") == 0.25 and tx.alike("diet", "tide") == 0.5
